@@ -14,7 +14,7 @@ def collab_members(collabs: DataFrame) -> DataFrame:
     return collabs.withColumn("all_team_uids", prepend(F.col("owner_uid"), F.col("team_uids")))
 
 
-def user_project_titles(user_keys: DataFrame, collabs: DataFrame) -> DataFrame:
+def project_titles_by_user(collabs: DataFrame) -> DataFrame:
     """Titles of every collab a user is a member of; NULL for none.
 
     ``uid IN UNNEST(team)`` is rewritten as explode + equi-join, so Spark
@@ -24,5 +24,9 @@ def user_project_titles(user_keys: DataFrame, collabs: DataFrame) -> DataFrame:
     """
     members = collab_members(collabs).select(
         "title", F.explode(F.array_distinct("all_team_uids")).alias("uid"))
-    titles = members.groupBy("uid").agg(F.sort_array(F.collect_list("title")).alias("project_titles"))
-    return user_keys.select("uid").join(titles, "uid", "left")
+    return members.groupBy("uid").agg(F.sort_array(F.collect_list("title")).alias("project_titles"))
+
+
+def user_project_titles(user_keys: DataFrame, collabs: DataFrame) -> DataFrame:
+    """Project titles for every user; NULL for users in no collab."""
+    return user_keys.select("uid").join(project_titles_by_user(collabs), "uid", "left")

@@ -14,16 +14,19 @@ COUNTED_TYPES = {"viewed_posts": "view", "upvoted_posts": "upvote",
 RECENT_TITLES = 10
 
 
-def user_interaction_counts(user_keys: DataFrame, interactions: DataFrame) -> DataFrame:
+def interaction_counts_by_user(interactions: DataFrame) -> DataFrame:
     """Three filtered ``COUNT(post_id)`` subqueries as one conditional
-    aggregate (one scan, one shuffle, partial counts map-side), left-joined
-    to users and zero-filled."""
+    aggregate: one scan, one shuffle, partial counts map-side."""
     t = F.col("interaction_type")
-    counts = (interactions.filter(t.isin(*COUNTED_TYPES.values()))
-              .groupBy(F.col("user_id").alias("uid"))
-              .agg(*[F.count(F.when(t == v, F.col("post_id"))).alias(k)
-                     for k, v in COUNTED_TYPES.items()]))
-    return (user_keys.select("uid").join(counts, "uid", "left")
+    return (interactions.filter(t.isin(*COUNTED_TYPES.values()))
+            .groupBy(F.col("user_id").alias("uid"))
+            .agg(*[F.count(F.when(t == v, F.col("post_id"))).alias(k)
+                   for k, v in COUNTED_TYPES.items()]))
+
+
+def user_interaction_counts(user_keys: DataFrame, interactions: DataFrame) -> DataFrame:
+    """Counts left-joined to users; no interactions gives 0, not NULL."""
+    return (user_keys.select("uid").join(interaction_counts_by_user(interactions), "uid", "left")
             .na.fill(0, subset=list(COUNTED_TYPES)))
 
 
@@ -43,14 +46,17 @@ def user_login_frequency(users: DataFrame) -> DataFrame:
     Users with fewer than two logins are not updated and stay NULL; a user
     whose intervals are all zero gets 0 (``COALESCE(..., 0)``).
     """
-    gaps = adjacent_gaps_seconds("login_times")
-    freq = F.when(F.size("login_times") >= 2,
-                  F.coalesce(geometric_mean_positive(gaps), F.lit(0.0)))
-    return users.select("uid", freq.alias("login_frequency"))
+    return users.select("uid", login_frequency().alias("login_frequency"))
 
 
-def user_recent_titles(user_keys: DataFrame, interactions: DataFrame,
-                       post_text: DataFrame, k: int = RECENT_TITLES) -> DataFrame:
+def login_frequency(times: str = "login_times"):
+    """Column form of ``user_login_frequency``."""
+    gaps = adjacent_gaps_seconds(times)
+    return F.when(F.size(times) >= 2, F.coalesce(geometric_mean_positive(gaps), F.lit(0.0)))
+
+
+def recent_titles_by_user(interactions: DataFrame, post_text: DataFrame,
+                          k: int = RECENT_TITLES) -> DataFrame:
     """``ARRAY_AGG(title ORDER BY interaction_time DESC LIMIT k)`` per user.
 
     NULL times (appended negatives) sort last; ties break on post id, and
@@ -63,7 +69,13 @@ def user_recent_titles(user_keys: DataFrame, interactions: DataFrame,
     w = Window.partitionBy("user_id").orderBy(F.col("interaction_time").desc_nulls_last(),
                                               F.col("post_id").asc())
     top = titled.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= k)
-    agg = (top.groupBy(F.col("user_id").alias("uid"))
-           .agg(F.sort_array(F.collect_list(F.struct("rn", "title"))).alias("_t"))
-           .select("uid", ordered_values(F.col("_t"), "title").alias("recent_titles")))
-    return user_keys.select("uid").join(agg, "uid", "left")
+    return (top.groupBy(F.col("user_id").alias("uid"))
+            .agg(F.sort_array(F.collect_list(F.struct("rn", "title"))).alias("_t"))
+            .select("uid", ordered_values(F.col("_t"), "title").alias("recent_titles")))
+
+
+def user_recent_titles(user_keys: DataFrame, interactions: DataFrame,
+                       post_text: DataFrame, k: int = RECENT_TITLES) -> DataFrame:
+    """Recent titles for every user; NULL for users with no rows."""
+    return user_keys.select("uid").join(recent_titles_by_user(interactions, post_text, k),
+                                        "uid", "left")

@@ -175,3 +175,111 @@ SELECT u.uid, r.recent_titles FROM user_keys u LEFT JOIN (
                               ORDER BY i.interaction_time DESC NULLS LAST, i.post_id) AS rn
     FROM iwn i JOIN post_text p ON i.post_id = p.po_id)
   WHERE rn <= 10 GROUP BY user_id) r USING (uid)""")
+
+
+# ---- feature tables, cleaning, scaling, geo, text ---------------------------------
+def scale_sql(src: str, key: str, cols: list[str], digits: int | None = None) -> str:
+    """z-scores with population std (0 -> 1), NULL kept; optional rounding."""
+    stats = ", ".join(f"avg({c}) AS {c}__m, stddev_pop({c}) AS {c}__s" for c in cols)
+    sel = []
+    for c in cols:
+        z = f"({c} - {c}__m) / CASE WHEN {c}__s = 0 THEN 1 ELSE {c}__s END"
+        sel.append(f"round({z}, {digits}) AS {c}" if digits is not None else f"{z} AS {c}")
+    return f"SELECT {key}, {', '.join(sel)} FROM {src}, (SELECT {stats} FROM {src}) st"
+
+
+cte("user_table", ["users", "login_frequency", "user_counts", "project_titles", "recent_titles"], """
+SELECT u.*, lf.login_frequency, uc.viewed_posts, uc.upvoted_posts, uc.commented_posts,
+       pt.project_titles, rt.recent_titles
+FROM users u LEFT JOIN login_frequency lf USING (uid) LEFT JOIN user_counts uc USING (uid)
+LEFT JOIN project_titles pt USING (uid) LEFT JOIN recent_titles rt USING (uid)""")
+
+cte("post_table", ["post_text", "post_comments", "post_features", "post_ctr"], """
+SELECT p.po_id, p.title, p.description, c.comments, f.post_length, f.vote_count, f.upvote_count,
+       f.view_count, f.comment_count, f.avg_time_viewed, r.ctr
+FROM post_text p LEFT JOIN post_comments c USING (po_id) LEFT JOIN post_features f USING (po_id)
+LEFT JOIN post_ctr r USING (po_id)""")
+
+cte("time_parts", ["iwn"], """
+SELECT *, CAST(hour(interaction_time) AS INTEGER) AS hour_of_day,
+       CAST(isodow(interaction_time) - 1 AS INTEGER) AS day_of_week FROM iwn""")
+
+cte("clean_users", ["user_table"], """
+SELECT uid, coalesce(array_to_string(passions, ' '), '') AS passions,
+       coalesce(array_to_string(project_titles, ' '), '') AS project_titles,
+       coalesce(bio, '') AS bio,
+       coalesce(array_to_string(recent_titles, ' '), '') AS recent_titles,
+       viewed_posts, upvoted_posts, commented_posts
+FROM user_table""")
+
+cte("clean_posts", ["post_table"], """
+SELECT po_id, title, description, coalesce(array_to_string(comments, ' '), '') AS comments
+FROM post_table""")
+
+cte("points", ["users"], """
+SELECT uid, CASE WHEN lat IS NOT NULL AND lon IS NOT NULL THEN lon ELSE 1.0 END AS lon,
+            CASE WHEN lat IS NOT NULL AND lon IS NOT NULL THEN lat ELSE 1.0 END AS lat
+FROM users""")
+
+cte("scaled_points", ["points"], scale_sql("points", "uid", ["lat", "lon"]))
+
+cte("rbf_centers", ["scaled_points"], """
+SELECT CAST(row_number() OVER (ORDER BY md5(CAST(uid AS VARCHAR)), uid) - 1 AS INTEGER) AS k,
+       uid, lat, lon
+FROM (SELECT * FROM scaled_points ORDER BY md5(CAST(uid AS VARCHAR)), uid LIMIT 5)""")
+
+cte("geo_rbf", ["scaled_points", "rbf_centers"], """
+SELECT s.uid,
+       list(round(exp(-0.1 * ((s.lat - c.lat) * (s.lat - c.lat) + (s.lon - c.lon) * (s.lon - c.lon))), 6)
+            ORDER BY c.k) AS geo_rbf
+FROM scaled_points s, rbf_centers c GROUP BY s.uid""")
+
+USER_TEXT = {"passions": 10, "project_titles": 10, "bio": 50, "recent_titles": 10}
+POST_TEXT = {"title": 10, "description": 100, "comments": 100}
+
+
+def tok(expr: str) -> str:
+    return (f"list_filter(string_split_regex(lower(coalesce({expr}, '')), '[^\\p{{L}}\\p{{N}}]+'), "
+            f"lambda t: t <> '')")
+
+
+def enc(col: str, n: int) -> str:
+    return f"[2] || list_transform(({tok(col)})[1:{n - 2}], lambda t: coalesce(vm.m[t], 1)) || [3]"
+
+
+cte("corpus", ["clean_users", "clean_posts"], "\nUNION ALL\n".join(
+    [f"SELECT {c} AS text FROM clean_users" for c in USER_TEXT]
+    + [f"SELECT {c} AS text FROM clean_posts" for c in POST_TEXT]))
+
+cte("vocab", ["corpus"], f"""
+SELECT token, CAST(row_number() OVER (ORDER BY n DESC, token) + 3 AS INTEGER) AS token_id, n FROM (
+  SELECT token, count(*) AS n FROM (SELECT unnest({tok('text')}) AS token FROM corpus)
+  GROUP BY token ORDER BY n DESC, token LIMIT 10000)""")
+
+cte("vmap", ["vocab"], """
+SELECT MAP(list(token ORDER BY token_id), list(token_id ORDER BY token_id)) AS m FROM vocab""")
+
+cte("enc_users", ["clean_users", "vmap"],
+    "SELECT uid, " + ", ".join(f"{enc(c, n)} AS {c}" for c, n in USER_TEXT.items())
+    + " FROM clean_users, vmap vm")
+
+cte("enc_posts", ["clean_posts", "vmap"],
+    "SELECT po_id, " + ", ".join(f"{enc(c, n)} AS {c}" for c, n in POST_TEXT.items())
+    + " FROM clean_posts, vmap vm")
+
+
+def widths_sql(src: str, lengths: dict[str, int]) -> str:
+    return "SELECT " + ", ".join(
+        f"CAST(least(max(len({c})), {n}) AS INTEGER) AS {c}" for c, n in lengths.items()) + f" FROM {src}"
+
+
+cte("widths_users", ["enc_users"], widths_sql("enc_users", USER_TEXT))
+cte("widths_posts", ["enc_posts"], widths_sql("enc_posts", POST_TEXT))
+
+cte("padded_users", ["enc_users", "widths_users"],
+    "SELECT e.uid, " + ", ".join(f"list_resize(e.{c}, w.{c}, 0) AS {c}" for c in USER_TEXT)
+    + " FROM enc_users e, widths_users w")
+
+cte("padded_posts", ["enc_posts", "widths_posts"],
+    "SELECT e.po_id, " + ", ".join(f"list_resize(e.{c}, w.{c}, 0) AS {c}" for c in POST_TEXT)
+    + " FROM enc_posts e, widths_posts w")

@@ -174,3 +174,153 @@ def user_login_frequency(spark, d):
 def user_recent_titles(spark, d):
     iwn = I.interactions_with_negatives(D.interactions(spark, d), D.users(spark, d))
     return U.user_recent_titles(D.user_keys(spark, d), iwn, D.post_text(spark, d))
+
+
+# ---- feature tables ------------------------------------------------------------
+from . import features as FT  # noqa: E402
+from .oracle import POST_TEXT, USER_TEXT, scale_sql  # noqa: E402
+from ..operators import clean as CL, encode as E, geo as G  # noqa: E402
+from ..schemas import POST_DENSE_COLS  # noqa: E402
+
+
+def _inputs(spark, d):
+    return FT.Inputs.load(spark, d)
+
+
+@query("user_features", with_ctes(
+    "SELECT uid, viewed_posts, upvoted_posts, commented_posts, "
+    "round(login_frequency, 6) AS login_frequency, project_titles, recent_titles FROM user_table",
+    "user_table"))
+def user_features(spark, d):
+    ut = FT.user_table(_inputs(spark, d))
+    return ut.select("uid", *U.COUNTED_TYPES, r6(F.col("login_frequency")).alias("login_frequency"),
+                     "project_titles", "recent_titles")
+
+
+@query("post_features", with_ctes(
+    "SELECT po_id, post_length, vote_count, upvote_count, view_count, comment_count, "
+    "round(avg_time_viewed, 6) AS avg_time_viewed, round(ctr, 6) AS ctr FROM post_table",
+    "post_table"))
+def post_features(spark, d):
+    pt = FT.post_table(_inputs(spark, d))
+    return pt.select("po_id", *POST_DENSE_COLS).withColumns(
+        {"avg_time_viewed": r6(F.col("avg_time_viewed")), "ctr": r6(F.col("ctr"))})
+
+
+# ---- cleaning ----------------------------------------------------------------
+@query("interaction_time_parts", with_ctes("SELECT * FROM time_parts", "time_parts"))
+def interaction_time_parts(spark, d):
+    return CL.interaction_time_parts(FT.interactions_with_negatives(_inputs(spark, d)))
+
+
+@query("clean_interactions", with_ctes(
+    "SELECT event_id, user_id, post_id, coalesce(interaction_type, 'unknown') AS interaction_type, "
+    "interaction_time, coalesce(view_duration_secs, 0.0) AS view_duration_secs, "
+    "coalesce(comment_length, 0) AS comment_length, weight, coalesce(hour_of_day, 0) AS hour_of_day, "
+    "coalesce(day_of_week, 0) AS day_of_week FROM time_parts", "time_parts"))
+def clean_interactions(spark, d):
+    return CL.clean_interactions(FT.interactions_with_negatives(_inputs(spark, d)))
+
+
+@query("clean_users", with_ctes("SELECT * FROM clean_users", "clean_users"))
+def clean_users(spark, d):
+    cu = CL.clean_users(FT.user_table(_inputs(spark, d)))
+    return cu.select("uid", *E.USER_TEXT_LENGTHS, *U.COUNTED_TYPES)
+
+
+@query("clean_posts", with_ctes("SELECT * FROM clean_posts", "clean_posts"))
+def clean_posts(spark, d):
+    return CL.clean_posts(FT.post_table(_inputs(spark, d))).select(
+        "po_id", *E.POST_TEXT_LENGTHS)
+
+
+# ---- scaling -----------------------------------------------------------------
+@query("scale_posts", with_ctes(scale_sql("post_table", "po_id", POST_DENSE_COLS, 6), "post_table"))
+def scale_posts(spark, d):
+    sc = FT.scaled_post_features(FT.post_table(_inputs(spark, d)))
+    return sc.select("po_id", *[r6(F.col(c)).alias(c) for c in POST_DENSE_COLS])
+
+
+@query("scale_users", with_ctes(scale_sql("login_frequency", "uid", ["login_frequency"], 6),
+                                "login_frequency"))
+def scale_users(spark, d):
+    sc = FT.scaled_user_features(U.user_login_frequency(D.users(spark, d)))
+    return sc.select("uid", r6(F.col("login_frequency")).alias("login_frequency"))
+
+
+@query("scale_geo", with_ctes(
+    "SELECT uid, round(lat, 6) AS lat, round(lon, 6) AS lon FROM scaled_points", "scaled_points"))
+def scale_geo(spark, d):
+    sp = G.scaled_points(G.points(D.users(spark, d)))
+    return sp.select("uid", r6(F.col("lat")).alias("lat"), r6(F.col("lon")).alias("lon"))
+
+
+# ---- geo ---------------------------------------------------------------------
+@query("decode_points", with_ctes("SELECT uid, lon, lat FROM points", "points"))
+def decode_points(spark, d):
+    return G.decode_points(G.encode_points(D.users(spark, d)))
+
+
+@query("rbf_centers", with_ctes(
+    "SELECT k, uid, round(lat, 6) AS lat, round(lon, 6) AS lon FROM rbf_centers", "rbf_centers"))
+def rbf_centers(spark, d):
+    sp = G.scaled_points(G.points(D.users(spark, d)))
+    return G.rbf_centers(sp).select("k", "uid", r6(F.col("lat")).alias("lat"),
+                                    r6(F.col("lon")).alias("lon"))
+
+
+@query("geo_rbf", with_ctes("SELECT * FROM geo_rbf", "geo_rbf"))
+def geo_rbf(spark, d):
+    lf = FT.location_features(D.users(spark, d))
+    return lf.select("uid", F.transform("geo_rbf", lambda v: F.round(v, 6)).alias("geo_rbf"))
+
+
+# ---- text --------------------------------------------------------------------
+def _encoded(spark, d):
+    x = _inputs(spark, d)
+    return FT.encoded_tables(FT.user_table(x), FT.post_table(x))
+
+
+@query("vocabulary", with_ctes("SELECT * FROM vocab", "vocab"))
+def vocabulary(spark, d):
+    return _encoded(spark, d)[0]
+
+
+def _post_title_ids(spark, d):
+    x = _inputs(spark, d)
+    vocab = _encoded(spark, d)[0]
+    cp = CL.clean_posts(FT.post_table(x)).select("po_id", "title")
+    return E.encode(cp, "po_id", {"title": 10}, vocab)
+
+
+@query("encode_title", with_ctes("SELECT po_id, title FROM enc_posts", "enc_posts"))
+def encode_title(spark, d):
+    return _post_title_ids(spark, d)
+
+
+@query("pad_title", with_ctes("SELECT po_id, title FROM padded_posts", "padded_posts"))
+def pad_title(spark, d):
+    return E.pad(_post_title_ids(spark, d), {"title": 10})
+
+
+@query("token_width", with_ctes(
+    "SELECT * FROM widths_users, widths_posts", "widths_users", "widths_posts"))
+def token_width(spark, d):
+    x = _inputs(spark, d)
+    ut, pt = FT.user_table(x), FT.post_table(x)
+    cu, cp = CL.clean_users(ut), CL.clean_posts(pt)
+    vocab = E.build_vocabulary(E.corpus(cu, cp))
+    wu = E.token_widths(E.encode(cu, "uid", E.USER_TEXT_LENGTHS, vocab), E.USER_TEXT_LENGTHS)
+    wp = E.token_widths(E.encode(cp, "po_id", E.POST_TEXT_LENGTHS, vocab), E.POST_TEXT_LENGTHS)
+    return wu.select(F.struct(*wu.columns).alias("u")).select(
+        "u.*", *[wp.select(c).scalar().alias(c) for c in wp.columns])
+
+
+@query("encode_users", with_ctes("SELECT * FROM padded_users", "padded_users"))
+def encode_users(spark, d):
+    return _encoded(spark, d)[1].select("uid", *USER_TEXT)
+
+
+@query("encode_posts", with_ctes("SELECT * FROM padded_posts", "padded_posts"))
+def encode_posts(spark, d):
+    return _encoded(spark, d)[2].select("po_id", *POST_TEXT)
