@@ -283,3 +283,74 @@ cte("padded_users", ["enc_users", "widths_users"],
 cte("padded_posts", ["enc_posts", "widths_posts"],
     "SELECT e.po_id, " + ", ".join(f"list_resize(e.{c}, w.{c}, 0) AS {c}" for c in POST_TEXT)
     + " FROM enc_posts e, widths_posts w")
+
+
+# ---- vectors, examples, retrieval, metrics ---------------------------------------
+def sql_fold_sum(lst: str) -> str:
+    """Left-to-right sum, the same order as Spark's ``aggregate``."""
+    return f"list_reduce({lst}, lambda a, b: a + b)"
+
+
+def sql_dot(a: str, b: str) -> str:
+    return sql_fold_sum(f"list_transform(range(1, len({a}) + 1), lambda i: {a}[i]::DOUBLE * {b}[i]::DOUBLE)")
+
+
+def sql_unit(e: str) -> str:
+    nrm = f"sqrt({sql_dot(e, e)})"
+    return f"list_transform({e}, lambda x: CASE WHEN {nrm} > 0 THEN x::DOUBLE / {nrm} ELSE 0.0 END)"
+
+
+cte("uvec", ["vectors"], "SELECT id, embedding, label FROM vectors WHERE side = 'user'")
+cte("pvec", ["vectors"], "SELECT id, embedding, label FROM vectors WHERE side = 'post'")
+cte("unit_users", ["uvec"], f"SELECT id AS user_id, {sql_unit('embedding')} AS u, label FROM uvec")
+cte("unit_posts", ["pvec"], f"SELECT id AS post_id, {sql_unit('embedding')} AS p, label FROM pvec")
+
+cte("scored", ["iwn", "unit_users", "unit_posts"], f"""
+SELECT i.user_id, i.post_id, i.interaction_type, i.weight, CAST(i.weight > 0 AS INTEGER) AS label,
+       {sql_dot('u.u', 'p.p')} AS score
+FROM iwn i JOIN unit_users u ON u.user_id = i.user_id JOIN unit_posts p ON p.post_id = i.post_id""")
+
+cte("topk", ["unit_users", "unit_posts"], f"""
+SELECT user_id, CAST(rank AS INTEGER) AS rank, post_id, score FROM (
+  SELECT user_id, post_id, score,
+         row_number() OVER (PARTITION BY user_id ORDER BY score DESC, post_id) AS rank
+  FROM (SELECT u.user_id, p.post_id, {sql_dot('u.u', 'p.p')} AS score FROM unit_users u, unit_posts p))
+WHERE rank <= 10""")
+
+cte("scaled_lf", ["login_frequency"], scale_sql("login_frequency", "uid", ["login_frequency"]))
+cte("scaled_posts", ["post_table"], scale_sql("post_table", "po_id", POST_DENSE := [
+    "post_length", "vote_count", "upvote_count", "view_count", "comment_count",
+    "avg_time_viewed", "ctr"]))
+
+
+def _f(expr: str) -> str:
+    return f"CAST(coalesce(round(CAST({expr} AS DOUBLE), 6), 0.0) AS FLOAT)"
+
+
+cte("user_dense", ["user_counts", "scaled_lf"], f"""
+SELECT c.uid, [{_f('c.viewed_posts')}, {_f('c.upvoted_posts')}, {_f('c.commented_posts')},
+               {_f('s.login_frequency')}] AS user_dense
+FROM user_counts c JOIN scaled_lf s USING (uid)""")
+
+cte("post_dense", ["scaled_posts"], "SELECT po_id, [" + ", ".join(_f(c) for c in POST_DENSE)
+    + "] AS post_dense FROM scaled_posts")
+
+cte("examples", ["iwn", "uvec", "pvec", "user_dense", "post_dense"], """
+SELECT i.user_id, i.post_id, i.interaction_type, i.weight, CAST(i.weight > 0 AS INTEGER) AS label,
+       u.embedding AS user_embedding, ud.user_dense, p.embedding AS post_embedding, pd.post_dense
+FROM iwn i JOIN uvec u ON u.id = i.user_id JOIN user_dense ud ON ud.uid = i.user_id
+JOIN pvec p ON p.id = i.post_id JOIN post_dense pd ON pd.po_id = i.post_id""")
+
+cte("retrieval_ce", ["weighted", "uvec", "pvec"], f"""
+SELECT batch, event_id, weight, m + ln(sum(exp(l - m))) - any_value(diag) AS ce FROM (
+  SELECT a.batch, a.event_id, a.weight, l, diag, max(l) OVER (PARTITION BY a.batch, a.event_id) AS m FROM (
+    SELECT a.batch, a.event_id, a.weight, {sql_dot('a.u', 'b.p')} AS l, {sql_dot('a.u', 'a.p')} AS diag
+    FROM (SELECT *, (row_number() OVER (ORDER BY event_id) - 1) // 256 AS batch FROM (
+            SELECT i.event_id, i.weight, u.embedding AS u, p.embedding AS p
+            FROM weighted i JOIN uvec u ON u.id = i.user_id JOIN pvec p ON p.id = i.post_id
+            WHERE i.weight > 0)) a
+    JOIN (SELECT *, (row_number() OVER (ORDER BY event_id) - 1) // 256 AS batch FROM (
+            SELECT i.event_id, p.embedding AS p
+            FROM weighted i JOIN uvec u ON u.id = i.user_id JOIN pvec p ON p.id = i.post_id
+            WHERE i.weight > 0)) b ON a.batch = b.batch) a)
+GROUP BY batch, event_id, weight, m""")

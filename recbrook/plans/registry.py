@@ -324,3 +324,163 @@ def encode_users(spark, d):
 @query("encode_posts", with_ctes("SELECT * FROM padded_posts", "padded_posts"))
 def encode_posts(spark, d):
     return _encoded(spark, d)[2].select("po_id", *POST_TEXT)
+
+
+# ---- vectors, examples, retrieval, metrics ---------------------------------------
+from ..operators import examples as X, metrics as M, retrieval as R  # noqa: E402
+from ..functions.vectors import round_all  # noqa: E402
+
+
+def _vecs(spark, d):
+    return D.side_vectors(spark, d, "user"), D.side_vectors(spark, d, "post")
+
+
+def _scored(spark, d):
+    uv, pv = _vecs(spark, d)
+    iwn = FT.interactions_with_negatives(_inputs(spark, d))
+    return X.scored_pairs(iwn.select("user_id", "post_id", "interaction_type", "weight"), uv, pv)
+
+
+@query("embedding_lookup", with_ctes(
+    "SELECT k.uid, v.embedding FROM user_keys k JOIN uvec v ON v.id = k.uid", "user_keys", "uvec"))
+def embedding_lookup(spark, d):
+    return X.embedding_lookup(D.user_keys(spark, d), "uid", _vecs(spark, d)[0].drop("label"))
+
+
+@query("dot_score", with_ctes(
+    "SELECT user_id, post_id, interaction_type, weight, label, round(score, 6) AS score FROM scored",
+    "scored"))
+def dot_score(spark, d):
+    return _scored(spark, d).withColumn("score", r6(F.col("score")))
+
+
+@query("dot_probability", with_ctes(
+    "SELECT user_id, post_id, round(1.0 / (1.0 + exp(-score)), 6) AS probability FROM scored",
+    "scored"))
+def dot_probability(spark, d):
+    p = X.dot_probability(_scored(spark, d))
+    return p.select("user_id", "post_id", r6(F.col("probability")).alias("probability"))
+
+
+@query("log_loss", with_ctes(
+    "SELECT count(*) AS n, round(avg(-(label * ln(pc) + (1 - label) * ln(1 - pc))), 6) AS log_loss "
+    "FROM (SELECT label, least(greatest(1.0 / (1.0 + exp(-score)), 1e-7), 1 - 1e-7) AS pc FROM scored)",
+    "scored"))
+def log_loss(spark, d):
+    return M.log_loss(M.probability(_scored(spark, d))).withColumn("log_loss", r6(F.col("log_loss")))
+
+
+@query("auc", with_ctes(
+    "SELECT CAST(sum(label) AS BIGINT) AS n_pos, CAST(sum(1 - label) AS BIGINT) AS n_neg, "
+    "round(sum(CASE WHEN label = 1 THEN neg_below + neg_here / 2.0 END) / "
+    "(sum(label)::DOUBLE * sum(1 - label)::DOUBLE), 6) AS auc FROM ("
+    "SELECT label, sum(1 - label) OVER (ORDER BY score RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    " - sum(1 - label) OVER (PARTITION BY score) AS neg_below, "
+    "sum(1 - label) OVER (PARTITION BY score) AS neg_here FROM scored)", "scored"))
+def auc(spark, d):
+    return M.auc(_scored(spark, d)).withColumn("auc", r6(F.col("auc")))
+
+
+@query("mean_pool", with_ctes(
+    "SELECT user_id, list(v ORDER BY j) AS pooled FROM ("
+    "SELECT user_id, j, round(avg(e), 6) AS v FROM ("
+    "SELECT i.user_id, unnest(p.embedding)::DOUBLE AS e, unnest(range(1, 33)) AS j "
+    "FROM weighted i JOIN pvec p ON p.id = i.post_id WHERE i.weight > 0) GROUP BY user_id, j) "
+    "GROUP BY user_id", "weighted", "pvec"))
+def mean_pool(spark, d):
+    pv = _vecs(spark, d)[1]
+    hist = (I.interaction_weight(D.interactions(spark, d)).filter(F.col("weight") > 0)
+            .join(pv.select(F.col("id").alias("post_id"), "embedding"), "post_id"))
+    return X.mean_pool(hist, "user_id", "embedding", 32).withColumn("pooled", round_all(F.col("pooled")))
+
+
+def _user_dense(spark, d):
+    return FT.dense_user_vector(FT.user_table(_inputs(spark, d)))
+
+
+def _post_dense(spark, d):
+    return FT.dense_post_vector(FT.post_table(_inputs(spark, d)))
+
+
+@query("user_dense_vector", with_ctes("SELECT * FROM user_dense", "user_dense"))
+def user_dense_vector(spark, d):
+    return _user_dense(spark, d)
+
+
+@query("post_dense_vector", with_ctes("SELECT * FROM post_dense", "post_dense"))
+def post_dense_vector(spark, d):
+    return _post_dense(spark, d)
+
+
+def _dense_sql() -> str:
+    from ..functions.vectors import rule_matrix
+    w, b = rule_matrix(X.SPARSE_PROJECTION, 4, 1)
+    outs = []
+    for row, bias in zip(w, b):
+        terms = " + ".join(f"({v!r}::DOUBLE) * user_dense[{j + 1}]::DOUBLE" for j, v in enumerate(row))
+        outs.append(f"round(greatest(0.0 + {terms} + ({bias!r}::DOUBLE), 0.0), 6)")
+    return "SELECT uid, [" + ", ".join(outs) + "] AS user_dense_proj FROM user_dense"
+
+
+@query("dense_relu", with_ctes(_dense_sql(), "user_dense"))
+def dense_relu(spark, d):
+    out = X.project_dense(_user_dense(spark, d), "user_dense", 4)
+    return out.select("uid", round_all(F.col("user_dense_proj")).alias("user_dense_proj"))
+
+
+def _examples(spark, d):
+    x = _inputs(spark, d)
+    uv, pv = _vecs(spark, d)
+    iwn = FT.interactions_with_negatives(x)
+    return X.training_examples(iwn, FT.dense_user_vector(FT.user_table(x, iwn)),
+                               FT.dense_post_vector(FT.post_table(x)),
+                               uv.drop("label"), pv.drop("label"))
+
+
+@query("training_examples", with_ctes("SELECT * FROM examples", "examples"))
+def training_examples(spark, d):
+    return _examples(spark, d)
+
+
+@query("content_vector", with_ctes(
+    "SELECT user_id, post_id, interaction_type, label, "
+    "list_concat(list_concat(list_concat(user_embedding, post_embedding), user_dense), post_dense) "
+    "AS features FROM examples", "examples"))
+def content_vector(spark, d):
+    return X.content_vector(_examples(spark, d)).select(
+        "user_id", "post_id", "interaction_type", "label", "features")
+
+
+@query("retrieve_topk", with_ctes(
+    "SELECT user_id, rank, post_id, round(score, 6) AS score FROM topk", "topk"))
+def retrieve_topk(spark, d):
+    uv, pv = _vecs(spark, d)
+    return R.retrieve_topk(uv, pv, k=10).withColumn("score", r6(F.col("score")))
+
+
+@query("recall_at_k", with_ctes(
+    "SELECT t.user_id, count(*) FILTER (WHERE p.label = u.label) AS hits, any_value(r.relevant) AS relevant, "
+    "round(count(*) FILTER (WHERE p.label = u.label) / any_value(r.relevant), 6) AS recall "
+    "FROM topk t JOIN uvec u ON u.id = t.user_id JOIN pvec p ON p.id = t.post_id "
+    "JOIN (SELECT label, count(*) AS relevant FROM pvec GROUP BY label) r ON r.label = u.label "
+    "GROUP BY t.user_id", "topk", "uvec", "pvec"))
+def recall_at_k(spark, d):
+    uv, pv = _vecs(spark, d)
+    top = R.retrieve_topk(uv, pv, k=10)
+    out = M.recall_at_k(top, uv.select(F.col("id").alias("user_id"), "label"),
+                        pv.select(F.col("id").alias("post_id"), "label"))
+    return out.withColumn("recall", r6(F.col("recall")))
+
+
+@query("retrieval_loss", with_ctes(
+    "SELECT batch, count(*) AS n, round(sum(ce), 6) AS loss, round(avg(weight * ce), 6) AS weighted_loss, "
+    "round(avg(weight) * sum(ce), 6) AS reference_loss FROM retrieval_ce GROUP BY batch", "retrieval_ce"))
+def retrieval_loss(spark, d):
+    uv, pv = _vecs(spark, d)
+    pos = (I.interaction_weight(D.interactions(spark, d)).filter(F.col("weight") > 0)
+           .join(uv.select(F.col("id").alias("user_id"), F.col("embedding").alias("u")), "user_id")
+           .join(pv.select(F.col("id").alias("post_id"), F.col("embedding").alias("p")), "post_id")
+           .select("event_id", "weight", "u", "p"))
+    out = M.retrieval_loss(pos)
+    return out.select("batch", "n", *[r6(F.col(c)).alias(c)
+                                      for c in ("loss", "weighted_loss", "reference_loss")])
