@@ -484,3 +484,108 @@ def retrieval_loss(spark, d):
     out = M.retrieval_loss(pos)
     return out.select("batch", "n", *[r6(F.col(c)).alias(c)
                                       for c in ("loss", "weighted_loss", "reference_loss")])
+
+
+# ---- model stages (trained: rows-only checks) ------------------------------------
+from ..operators import models as MD  # noqa: E402
+from . import recommend as RC  # noqa: E402
+
+
+def _iwn(spark, d):
+    return FT.interactions_with_negatives(_inputs(spark, d))
+
+
+@query("post_viewers_approx")
+def post_viewers_approx(spark, d):
+    views = I.filter_type(D.interactions(spark, d), "view")
+    return views.groupBy(F.col("post_id").alias("po_id")).agg(
+        F.approx_count_distinct("user_id").alias("viewers_approx"))
+
+
+@query("als_embeddings")
+def als_embeddings(spark, d):
+    return MD.als_embeddings(_iwn(spark, d))
+
+
+def _content(spark, d):
+    x = _inputs(spark, d)
+    cu = CL.clean_users(FT.user_table(x))
+    user_text = cu.select("uid", F.concat_ws(" ", "passions", "project_titles", "bio").alias("text"))
+    post_text = x.post_text.select("po_id", F.concat_ws(" ", "title", "description").alias("text"))
+    geo_feats = FT.location_features(x.users).select("uid", "geo_rbf")
+    return MD.content_embeddings(user_text, post_text, geo_feats)
+
+
+@query("content_embeddings")
+def content_embeddings(spark, d):
+    return _content(spark, d)
+
+
+@query("embed_all")
+def embed_all(spark, d):
+    als = MD.als_embeddings(_iwn(spark, d)).withColumn("space", F.lit("interaction"))
+    content = _content(spark, d).withColumn("space", F.lit("content"))
+    return als.unionByName(content)
+
+
+@query("rank_mlp")
+def rank_mlp(spark, d):
+    ex = RC.ranking_examples(spark, d)[0]
+    return MD.predict(MD.rank_mlp(ex), ex, ["user_id", "post_id", "label"])
+
+
+@query("rank_wide")
+def rank_wide(spark, d):
+    ex = RC.ranking_examples(spark, d)[0]
+    return MD.predict(MD.rank_wide(ex), ex, ["user_id", "post_id", "label"])
+
+
+@query("retrieve_lsh")
+def retrieve_lsh(spark, d):
+    uv, pv = _vecs(spark, d)
+    return R.retrieve_lsh(uv, pv, k=10)
+
+
+@query("diversify_topk")
+def diversify_topk(spark, d):
+    uv, pv = _vecs(spark, d)
+    cands = R.retrieve_topk(uv, pv, k=50)
+    return R.diversify_topk(cands, R.post_clusters(pv), k=10, per_cluster=2)
+
+
+@query("recommend")
+def recommend(spark, d):
+    return RC.recommend(spark, d)
+
+
+# ---- streaming -----------------------------------------------------------------
+from ..streaming import jobs as SJ  # noqa: E402
+from ..streaming.intake import to_messages  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from ..sources.tables import read_table  # noqa: E402
+
+
+@query("stream_counts", with_ctes(
+    "SELECT user_id, interaction_type, count(*) AS n FROM interactions GROUP BY user_id, interaction_type",
+    "interactions"))
+def stream_counts(spark, d):
+    return SJ.stream_counts(spark, d, "events.parquet")
+
+
+@query("stream_refresh", with_ctes(
+    "SELECT uid, viewed_posts, upvoted_posts, commented_posts FROM (SELECT user_id AS uid, "
+    "count(post_id) FILTER (WHERE interaction_type = 'view') AS viewed_posts, "
+    "count(post_id) FILTER (WHERE interaction_type = 'upvote') AS upvoted_posts, "
+    "count(post_id) FILTER (WHERE interaction_type = 'comment') AS commented_posts "
+    "FROM interactions WHERE interaction_type IN ('view', 'upvote', 'comment') GROUP BY user_id)",
+    "interactions"))
+def stream_refresh(spark, d):
+    return SJ.stream_refresh(spark, d, "events.parquet")
+
+
+@query("stream_messages", "SELECT * FROM events")
+def stream_messages(spark, d):
+    import uuid
+    msg_dir = scratch_path(spark, f"messages-{uuid.uuid4().hex}")
+    to_messages(read_table(spark, d, "events")).write.text(msg_dir)
+    return SJ.stream_messages(spark, msg_dir)[0]

@@ -29,7 +29,12 @@ def interaction_type_of(event_type: Column, event_id: Column) -> Column:
 
 
 def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = read_table(spark, sf_dir, "events").filter(F.col("event_type") != "signup")
+    return interactions_from_events(read_table(spark, sf_dir, "events"))
+
+
+def interactions_from_events(events: DataFrame) -> DataFrame:
+    """Interaction rows from an events frame (batch or streaming)."""
+    ev = events.filter(F.col("event_type") != "signup")
     et = F.col("event_type")
     return ev.select(
         "event_id",
