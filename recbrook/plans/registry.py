@@ -8,6 +8,7 @@ sides.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -589,3 +590,35 @@ def stream_messages(spark, d):
     msg_dir = scratch_path(spark, f"messages-{uuid.uuid4().hex}")
     to_messages(read_table(spark, d, "events")).write.text(msg_dir)
     return SJ.stream_messages(spark, msg_dir)[0]
+
+
+# ---- feature files: written by the transformation step, read as float32 -----------
+from ..sources import io as IO  # noqa: E402
+from ..schemas import USER_DENSE_COLS  # noqa: E402
+
+
+def _feature_file(spark, d, name, df):
+    import uuid
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    IO.write_examples({name: df}, path)
+    return os.path.join(path, name, "*.parquet")
+
+
+@query("read_user_features", with_ctes(
+    "SELECT c.uid, CAST(c.viewed_posts AS FLOAT) AS viewed_posts, CAST(c.upvoted_posts AS FLOAT) AS upvoted_posts, "
+    "CAST(c.commented_posts AS FLOAT) AS commented_posts, "
+    "CAST(round(s.login_frequency, 6) AS FLOAT) AS login_frequency "
+    "FROM user_counts c JOIN scaled_lf s USING (uid)", "user_counts", "scaled_lf"))
+def read_user_features(spark, d):
+    ut = FT.scaled_user_features(FT.user_table(_inputs(spark, d)))
+    out = ut.select("uid", *U.COUNTED_TYPES, r6(F.col("login_frequency")).alias("login_frequency"))
+    return IO.read_user_features(spark, _feature_file(spark, d, "users", out))
+
+
+@query("read_post_features", with_ctes(
+    "SELECT po_id, " + ", ".join(f"CAST(round({c}, 6) AS FLOAT) AS {c}" for c in POST_DENSE_COLS)
+    + " FROM scaled_posts", "scaled_posts"))
+def read_post_features(spark, d):
+    pt = FT.scaled_post_features(FT.post_table(_inputs(spark, d)))
+    out = pt.select("po_id", *[r6(F.col(c)).alias(c) for c in POST_DENSE_COLS])
+    return IO.read_post_features(spark, _feature_file(spark, d, "posts", out))
