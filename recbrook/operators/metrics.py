@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.vectors import dot, sigmoid
+from ..functions.vectors import sigmoid
 from .ordering import global_index, running_sum_before
 
 # Probability clip of binary cross-entropy; retrieval batch size.
@@ -59,37 +61,43 @@ def recall_at_k(topk: DataFrame, user_labels: DataFrame, post_labels: DataFrame)
                     F.try_divide(F.col("hits"), F.col("relevant")).alias("recall")))
 
 
+RETRIEVAL_LOSS_SCHEMA = ("batch long, n long, loss double, weighted_loss double, "
+                         "reference_loss double")
+
+
+def _batch_loss(pdf: pd.DataFrame) -> pd.DataFrame:
+    """One batch: logits ``U P^T``, row-wise log-sum-exp minus the diagonal."""
+    u = np.stack(pdf["u"].to_numpy()).astype(np.float64)
+    p = np.stack(pdf["p"].to_numpy()).astype(np.float64)
+    logits = u @ p.T
+    m = logits.max(axis=1)
+    ce = m + np.log(np.exp(logits - m[:, None]).sum(axis=1)) - np.einsum("ij,ij->i", u, p)
+    w = pdf["weight"].to_numpy(dtype=np.float64)
+    return pd.DataFrame({"batch": [int(pdf["batch"].iloc[0])], "n": [len(pdf)],
+                         "loss": [float(ce.sum())], "weighted_loss": [float((w * ce).mean())],
+                         "reference_loss": [float(w.mean() * ce.sum())]})
+
+
 def retrieval_loss(positives: DataFrame, batch_size: int = BATCH_SIZE) -> DataFrame:
     """In-batch softmax loss of a retrieval model.
 
     ``positives`` holds (event_id, weight, u, p) with the user and post
     vectors of each positive pair.  Rows are put in batches of
-    ``batch_size`` by event order; inside a batch, row i's logits are
-    ``u_i . p_j`` for every j, and its cross-entropy is
-    ``logsumexp_j - u_i . p_i``.  Each batch's post vectors (at most
-    ``batch_size``) travel as one array, so no pair rows are formed.
+    ``batch_size`` by event order (a distributed global index); inside a
+    batch, row i's logits are ``u_i . p_j`` for every j, and its
+    cross-entropy is ``logsumexp_j - u_i . p_i``.
+
+    A batch is a group of at most ``batch_size`` rows by construction, so
+    each is handed to numpy as one Arrow batch (``applyInPandas``) and
+    scored with a single matrix product; no pair rows are formed.
 
     Per batch: ``loss`` (sum of cross-entropies, the default reduction),
     ``weighted_loss`` (mean of weight x cross-entropy) and
     ``reference_loss`` (mean weight x summed loss, the batch-level form).
     """
     idx = global_index(positives, [F.col("event_id")])
-    b = idx.withColumn("batch", F.floor(F.col("idx") / batch_size))
-    bank = b.groupBy("batch").agg(F.collect_list("p").alias("_bank"))
-    rows = b.join(bank, "batch")
-    logits = F.transform(F.col("_bank"), lambda q: dot(F.col("u"), q))
-    # the max enters the lambda through zip_with (see vectors.l2_normalize)
-    shifted = F.zip_with(F.col("_l"), F.array_repeat(F.col("_m"), F.size("_l")),
-                         lambda v, m: F.exp(v - m))
-    ce = (F.col("_m") + F.ln(F.aggregate(shifted, F.lit(0.0), lambda acc, v: acc + v))
-          - dot(F.col("u"), F.col("p")))
-    per_row = (rows.withColumn("_l", logits).withColumn("_m", F.array_max("_l"))
-               .withColumn("ce", ce))
-    return per_row.groupBy("batch").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("ce").alias("loss"),
-        F.avg(F.col("weight") * F.col("ce")).alias("weighted_loss"),
-        (F.avg("weight") * F.sum("ce")).alias("reference_loss"))
+    b = idx.select(F.floor(F.col("idx") / batch_size).alias("batch"), "weight", "u", "p")
+    return b.groupBy("batch").applyInPandas(_batch_loss, RETRIEVAL_LOSS_SCHEMA)
 
 
 def probability(scored: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import POST_DENSE_COLS
+from ..session import ensure_checkpoint_dir
 from ..sources import derived as D
 from ..operators import clean, collabs, encode, geo, interactions as I, posts, scale, users as U
 
@@ -72,17 +73,59 @@ def location_features(users: DataFrame) -> DataFrame:
     return geo.geo_rbf(sp, geo.rbf_centers(sp))
 
 
-def encoded_tables(user_tbl: DataFrame, post_tbl: DataFrame,
+def user_texts(x: Inputs, iwn: DataFrame | None = None) -> DataFrame:
+    """``(uid, _col, text)`` for the four user text columns, each taken from
+    its own source: no wide join carries long texts through a shuffle.
+    Every user has a ``passions`` row, so every uid is present."""
+    iwn = iwn if iwn is not None else interactions_with_negatives(x)
+    u = x.users
+    joined = lambda c: F.array_join(F.col(c), " ")
+    return (u.select("uid", F.lit("passions").alias("_col"),
+                     F.coalesce(joined("passions"), F.lit("")).alias("text"))
+            .unionByName(u.filter(F.col("bio").isNotNull())
+                         .select("uid", F.lit("bio").alias("_col"), F.col("bio").alias("text")))
+            .unionByName(collabs.project_titles_by_user(x.collabs)
+                         .select("uid", F.lit("project_titles").alias("_col"), joined("project_titles").alias("text")))
+            .unionByName(U.recent_titles_by_user(iwn, x.post_text)
+                         .select("uid", F.lit("recent_titles").alias("_col"), joined("recent_titles").alias("text"))))
+
+
+def post_texts(x: Inputs) -> DataFrame:
+    """``(po_id, _col, text)`` for title, description and comments."""
+    p = x.post_text
+    com = posts.post_comments(p, x.comments).filter(F.col("comments").isNotNull())
+    return (encode.to_long(p, "po_id", ["title", "description"])
+            .unionByName(com.select("po_id", F.lit("comments").alias("_col"),
+                                    F.array_join("comments", " ").alias("text"))))
+
+
+def vocabulary(x: Inputs, iwn: DataFrame | None = None, size: int = encode.VOCAB_SIZE) -> DataFrame:
+    """The corpus vocabulary over all seven text columns (empty texts add
+    no tokens, so only present texts are read)."""
+    texts = user_texts(x, iwn).select("text").unionByName(post_texts(x).select("text"))
+    return encode.build_vocabulary(texts, size)
+
+
+def encoded_users(x: Inputs, vocab: DataFrame, iwn: DataFrame | None = None) -> DataFrame:
+    """Users with padded id arrays for the four user text columns."""
+    return encode.pad(encode.encode_long(user_texts(x, iwn), "uid", encode.USER_TEXT_LENGTHS, vocab),
+                      encode.USER_TEXT_LENGTHS)
+
+
+def encoded_posts(x: Inputs, vocab: DataFrame) -> DataFrame:
+    """Posts with padded id arrays for title, description and comments."""
+    return encode.pad(encode.encode_long(post_texts(x), "po_id", encode.POST_TEXT_LENGTHS, vocab),
+                      encode.POST_TEXT_LENGTHS)
+
+
+def encoded_tables(x: Inputs, iwn: DataFrame | None = None,
                    vocab_size: int = encode.VOCAB_SIZE) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(vocabulary, users with padded id arrays, posts with padded id arrays)."""
-    cu = clean.clean_users(user_tbl)
-    cp = clean.clean_posts(post_tbl)
-    vocab = encode.build_vocabulary(encode.corpus(cu, cp), vocab_size)
-    eu = encode.pad(encode.encode(cu, "uid", encode.USER_TEXT_LENGTHS, vocab),
-                    encode.USER_TEXT_LENGTHS)
-    ep = encode.pad(encode.encode(cp, "po_id", encode.POST_TEXT_LENGTHS, vocab),
-                    encode.POST_TEXT_LENGTHS)
-    return vocab, eu, ep
+    """(vocabulary, users with padded id arrays, posts with padded id arrays).
+    The vocabulary is materialised once and shared by both sides."""
+    iwn = iwn if iwn is not None else interactions_with_negatives(x)
+    ensure_checkpoint_dir(x.users.sparkSession)
+    vocab = vocabulary(x, iwn, vocab_size).checkpoint(eager=True)
+    return vocab, encoded_users(x, vocab, iwn), encoded_posts(x, vocab)
 
 
 def build_features(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -91,7 +134,7 @@ def build_features(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     iwn = interactions_with_negatives(x)
     ut = user_table(x, iwn)
     pt = post_table(x)
-    vocab, eu, ep = encoded_tables(ut, pt)
+    vocab, eu, ep = encoded_tables(x, iwn)
     return {
         "interactions": clean.clean_interactions(iwn),
         "users": scaled_user_features(ut),

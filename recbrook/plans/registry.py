@@ -277,21 +277,14 @@ def geo_rbf(spark, d):
 
 
 # ---- text --------------------------------------------------------------------
-def _encoded(spark, d):
-    x = _inputs(spark, d)
-    return FT.encoded_tables(FT.user_table(x), FT.post_table(x))
-
-
 @query("vocabulary", with_ctes("SELECT * FROM vocab", "vocab"))
 def vocabulary(spark, d):
-    return _encoded(spark, d)[0]
+    return FT.vocabulary(_inputs(spark, d))
 
 
 def _post_title_ids(spark, d):
     x = _inputs(spark, d)
-    vocab = _encoded(spark, d)[0]
-    cp = CL.clean_posts(FT.post_table(x)).select("po_id", "title")
-    return E.encode(cp, "po_id", {"title": 10}, vocab)
+    return E.encode(x.post_text.select("po_id", "title"), "po_id", {"title": 10}, FT.vocabulary(x))
 
 
 @query("encode_title", with_ctes("SELECT po_id, title FROM enc_posts", "enc_posts"))
@@ -308,23 +301,27 @@ def pad_title(spark, d):
     "SELECT * FROM widths_users, widths_posts", "widths_users", "widths_posts"))
 def token_width(spark, d):
     x = _inputs(spark, d)
-    ut, pt = FT.user_table(x), FT.post_table(x)
-    cu, cp = CL.clean_users(ut), CL.clean_posts(pt)
-    vocab = E.build_vocabulary(E.corpus(cu, cp))
-    wu = E.token_widths(E.encode(cu, "uid", E.USER_TEXT_LENGTHS, vocab), E.USER_TEXT_LENGTHS)
-    wp = E.token_widths(E.encode(cp, "po_id", E.POST_TEXT_LENGTHS, vocab), E.POST_TEXT_LENGTHS)
+    iwn = FT.interactions_with_negatives(x)
+    vocab = FT.vocabulary(x, iwn)
+    wu = E.token_widths(E.encode_long(FT.user_texts(x, iwn), "uid", E.USER_TEXT_LENGTHS, vocab),
+                        E.USER_TEXT_LENGTHS)
+    wp = E.token_widths(E.encode_long(FT.post_texts(x), "po_id", E.POST_TEXT_LENGTHS, vocab),
+                        E.POST_TEXT_LENGTHS)
     return wu.select(F.struct(*wu.columns).alias("u")).select(
         "u.*", *[wp.select(c).scalar().alias(c) for c in wp.columns])
 
 
 @query("encode_users", with_ctes("SELECT * FROM padded_users", "padded_users"))
 def encode_users(spark, d):
-    return _encoded(spark, d)[1].select("uid", *USER_TEXT)
+    x = _inputs(spark, d)
+    iwn = FT.interactions_with_negatives(x)
+    return FT.encoded_users(x, FT.vocabulary(x, iwn), iwn).select("uid", *USER_TEXT)
 
 
 @query("encode_posts", with_ctes("SELECT * FROM padded_posts", "padded_posts"))
 def encode_posts(spark, d):
-    return _encoded(spark, d)[2].select("po_id", *POST_TEXT)
+    x = _inputs(spark, d)
+    return FT.encoded_posts(x, FT.vocabulary(x)).select("po_id", *POST_TEXT)
 
 
 # ---- vectors, examples, retrieval, metrics ---------------------------------------

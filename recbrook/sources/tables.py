@@ -13,7 +13,27 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
+# Tables whose rows carry long texts that are tokenised after the scan.
+TEXT_TABLES = {"documents", "conversations"}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Scan one base table.  Column pruning and filters reach the Parquet
     reader because nothing here materialises rows."""
-    return spark.read.schema(BASE[name]).parquet(table_path(sf_dir, name))
+    df = spark.read.schema(BASE[name]).parquet(table_path(sf_dir, name))
+    return spread_small_scan(df) if name in TEXT_TABLES else df
+
+
+def spread_small_scan(df: DataFrame) -> DataFrame:
+    """Spread a scan over all cores when it yields fewer splits than cores.
+
+    A Parquet row group is the smallest split, so a small file scans as one
+    task and the CPU-heavy text work after it would run on one core.  A
+    large table already has at least as many splits as cores and is
+    returned unchanged (no shuffle).  Only the scan's planned split count
+    is inspected; nothing is executed.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
