@@ -40,6 +40,29 @@ def build_session(master: str | None = None, app: str = "recbrook",
     return spark
 
 
+def scale_conf(input_bytes: int, total_cores: int,
+               target_partition_bytes: int = 128 << 20) -> dict[str, str]:
+    """Settings for a cluster run over ``input_bytes`` of input.
+
+    Shuffle partitions: enough that each holds about
+    ``target_partition_bytes`` of the largest shuffle (taken as the input
+    size), and at least two per core; AQE then coalesces small ones and
+    splits skewed ones.  Scans split at the same size.  For 100 TB on 1000
+    executors x 8 cores this gives ~800k partitions of 128 MB.
+    """
+    parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        # explicit broadcasts are bounded by construction; the automatic
+        # threshold stays at a size every executor can hold
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder, reading ``spark.checkpoint.dir`` first.
 

@@ -29,5 +29,5 @@ def test_rows_only_queries_run(spark, key):
 
 def test_entry(spark):
     df = entry(spark)
+    assert df.columns == ["user_id", "rank", "post_id", "probability", "score"]
     assert df.count() > 0
-    assert df.columns[0] == "uid"
