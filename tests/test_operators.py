@@ -242,3 +242,34 @@ def test_clean_interactions_fills(spark):
     r = clean.clean_interactions(df).first()
     assert (r.interaction_type, r.view_duration_secs, r.comment_length, r.hour_of_day, r.day_of_week) == \
         ("unknown", 0.0, 0, 0, 0)
+
+
+def test_auc_agrees_with_evaluator_and_planted_signal(spark):
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    rnd = random.Random(9)
+    data = [(float(y) + rnd.gauss(0, 0.8), y) for y in (rnd.random() < 0.3 for _ in range(400))]
+    df = spark.createDataFrame([(s, int(y)) for s, y in data], "score double, label int")
+    ours = metrics.auc(df).first().auc
+    ev = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="label", numBins=0)
+    assert ours == pytest.approx(ev.evaluate(df.withColumn("label", F.col("label").cast("double"))))
+    assert ours > 0.7
+
+
+def test_lsh_candidates_are_exact_pairs(spark):
+    from recbrook.operators.retrieval import retrieve_lsh
+    from recbrook.sources import derived as D
+    d = "/root/testdata/sf0.001"
+    uv, pv = D.side_vectors(spark, d, "user"), D.side_vectors(spark, d, "post")
+    lsh = retrieve_lsh(uv, pv, k=5)
+    exact = retrieve_topk(uv, pv, k=10_000)
+    joined = lsh.join(exact.withColumnRenamed("score", "exact").drop("rank"), ["user_id", "post_id"])
+    assert joined.count() == lsh.count() > 0
+    assert joined.filter(F.abs(F.col("score") - F.col("exact")) > 1e-9).count() == 0
+
+
+def test_rerun_gives_same_rows(spark):
+    from recbrook.sources import derived as D
+    d = "/root/testdata/sf0.001"
+    a = collabs.collab_members(D.collabs(spark, d))
+    b = collabs.collab_members(collabs.collab_members(D.collabs(spark, d)).drop("all_team_uids"))
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
