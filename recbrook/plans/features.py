@@ -64,7 +64,12 @@ def scaled_user_features(users: DataFrame) -> DataFrame:
 
 
 def scaled_post_features(post_tbl: DataFrame) -> DataFrame:
-    return scale.standard_scale(post_tbl, POST_DENSE_COLS)
+    """z-scored post features.  The narrow feature table is written once to
+    the checkpoint folder: the fit and the transform both read it instead
+    of recomputing the post joins."""
+    ensure_checkpoint_dir(post_tbl.sparkSession)
+    narrow = post_tbl.select("po_id", *POST_DENSE_COLS).checkpoint(eager=True)
+    return scale.standard_scale(narrow, POST_DENSE_COLS)
 
 
 def location_features(users: DataFrame) -> DataFrame:
