@@ -27,16 +27,17 @@ class Inputs:
     comments: DataFrame
     collabs: DataFrame
     interactions: DataFrame
+    profile: DataFrame  # users' own columns only (no bio, no logins)
 
     @classmethod
     def load(cls, spark: SparkSession, sf_dir: str) -> "Inputs":
         return cls(D.users(spark, sf_dir), D.post_text(spark, sf_dir),
                    D.comments(spark, sf_dir), D.collabs(spark, sf_dir),
-                   D.interactions(spark, sf_dir))
+                   D.interactions(spark, sf_dir), D.user_profile(spark, sf_dir))
 
 
 def interactions_with_negatives(x: Inputs) -> DataFrame:
-    return I.interactions_with_negatives(x.interactions, x.users)
+    return I.interactions_with_negatives(x.interactions, x.profile)
 
 
 def user_table(x: Inputs, iwn: DataFrame | None = None) -> DataFrame:
@@ -53,7 +54,7 @@ def user_table(x: Inputs, iwn: DataFrame | None = None) -> DataFrame:
 def post_table(x: Inputs) -> DataFrame:
     """Posts with comments, counts, mean view time and CTR."""
     feats = posts.post_features(x.post_text, x.interactions, x.comments)
-    ctr = posts.post_ctr(x.post_text, I.fed_posts(x.users), x.interactions)
+    ctr = posts.post_ctr(x.post_text, I.fed_posts(x.profile), x.interactions)
     com = posts.post_comments(x.post_text, x.comments)
     return (x.post_text.join(com, "po_id", "left").join(feats, "po_id", "left")
             .join(ctr.select("po_id", "ctr"), "po_id", "left"))
@@ -83,11 +84,10 @@ def user_texts(x: Inputs, iwn: DataFrame | None = None) -> DataFrame:
     its own source: no wide join carries long texts through a shuffle.
     Every user has a ``passions`` row, so every uid is present."""
     iwn = iwn if iwn is not None else interactions_with_negatives(x)
-    u = x.users
     joined = lambda c: F.array_join(F.col(c), " ")
-    return (u.select("uid", F.lit("passions").alias("_col"),
-                     F.coalesce(joined("passions"), F.lit("")).alias("text"))
-            .unionByName(u.filter(F.col("bio").isNotNull())
+    return (x.profile.select("uid", F.lit("passions").alias("_col"),
+                             F.coalesce(joined("passions"), F.lit("")).alias("text"))
+            .unionByName(x.users.filter(F.col("bio").isNotNull())
                          .select("uid", F.lit("bio").alias("_col"), F.col("bio").alias("text")))
             .unionByName(collabs.project_titles_by_user(x.collabs)
                          .select("uid", F.lit("project_titles").alias("_col"), joined("project_titles").alias("text")))
@@ -144,7 +144,7 @@ def build_features(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "interactions": clean.clean_interactions(iwn),
         "users": scaled_user_features(ut),
         "posts": scaled_post_features(pt),
-        "locations": location_features(x.users),
+        "locations": location_features(x.profile),
         "vocabulary": vocab,
         "encoded_users": eu,
         "encoded_posts": ep,

@@ -84,7 +84,7 @@ def interaction_weight(spark, d):
 
 @query("fed_posts", with_ctes("SELECT * FROM fed", "fed"))
 def fed_posts(spark, d):
-    return I.fed_posts(D.users(spark, d))
+    return I.fed_posts(D.user_profile(spark, d))
 
 
 @query("fed_left_join", with_ctes(
@@ -92,17 +92,17 @@ def fed_posts(spark, d):
     "i.view_duration_secs, i.comment_length FROM fed f LEFT JOIN interactions i "
     "ON f.user_id = i.user_id AND f.post_id = i.post_id", "fed", "interactions"))
 def fed_left_join(spark, d):
-    return I.fed_left_join(I.fed_posts(D.users(spark, d)), D.interactions(spark, d))
+    return I.fed_left_join(I.fed_posts(D.user_profile(spark, d)), D.interactions(spark, d))
 
 
 @query("negative_samples", with_ctes("SELECT * FROM negatives", "negatives"))
 def negative_samples(spark, d):
-    return I.negative_samples(I.fed_posts(D.users(spark, d)), D.interactions(spark, d))
+    return I.negative_samples(I.fed_posts(D.user_profile(spark, d)), D.interactions(spark, d))
 
 
 @query("append_negatives", with_ctes("SELECT * FROM iwn", "iwn"))
 def append_negatives(spark, d):
-    return I.interactions_with_negatives(D.interactions(spark, d), D.users(spark, d))
+    return I.interactions_with_negatives(D.interactions(spark, d), D.user_profile(spark, d))
 
 
 # ---- collabs -----------------------------------------------------------------
@@ -146,7 +146,7 @@ def post_avg_time_viewed(spark, d):
     "SELECT po_id, fed_users, viewers, round(ctr, 6) AS ctr, "
     "round(view_through_rate, 6) AS view_through_rate FROM post_ctr", "post_ctr"))
 def post_ctr(spark, d):
-    out = P.post_ctr(D.post_text(spark, d), I.fed_posts(D.users(spark, d)),
+    out = P.post_ctr(D.post_text(spark, d), I.fed_posts(D.user_profile(spark, d)),
                      D.interactions(spark, d))
     return out.withColumn("ctr", r6(F.col("ctr"))).withColumn(
         "view_through_rate", r6(F.col("view_through_rate")))
@@ -160,20 +160,20 @@ def user_interaction_counts(spark, d):
 
 @query("login_intervals", with_ctes("SELECT * FROM login_intervals", "login_intervals"))
 def login_intervals(spark, d):
-    return U.login_intervals(D.users(spark, d))
+    return U.login_intervals(D.user_login_times(spark, d))
 
 
 @query("user_login_frequency", with_ctes(
     "SELECT uid, round(login_frequency, 6) AS login_frequency FROM login_frequency",
     "login_frequency"))
 def user_login_frequency(spark, d):
-    out = U.user_login_frequency(D.users(spark, d))
+    out = U.user_login_frequency(D.user_login_times(spark, d))
     return out.withColumn("login_frequency", r6(F.col("login_frequency")))
 
 
 @query("user_recent_titles", with_ctes("SELECT * FROM recent_titles", "recent_titles"))
 def user_recent_titles(spark, d):
-    iwn = I.interactions_with_negatives(D.interactions(spark, d), D.users(spark, d))
+    iwn = I.interactions_with_negatives(D.interactions(spark, d), D.user_profile(spark, d))
     return U.user_recent_titles(D.user_keys(spark, d), iwn, D.post_text(spark, d))
 
 
@@ -245,34 +245,34 @@ def scale_posts(spark, d):
 @query("scale_users", with_ctes(scale_sql("login_frequency", "uid", ["login_frequency"], 6),
                                 "login_frequency"))
 def scale_users(spark, d):
-    sc = FT.scaled_user_features(U.user_login_frequency(D.users(spark, d)))
+    sc = FT.scaled_user_features(U.user_login_frequency(D.user_login_times(spark, d)))
     return sc.select("uid", r6(F.col("login_frequency")).alias("login_frequency"))
 
 
 @query("scale_geo", with_ctes(
     "SELECT uid, round(lat, 6) AS lat, round(lon, 6) AS lon FROM scaled_points", "scaled_points"))
 def scale_geo(spark, d):
-    sp = G.scaled_points(G.points(D.users(spark, d)))
+    sp = G.scaled_points(G.points(D.user_profile(spark, d)))
     return sp.select("uid", r6(F.col("lat")).alias("lat"), r6(F.col("lon")).alias("lon"))
 
 
 # ---- geo ---------------------------------------------------------------------
 @query("decode_points", with_ctes("SELECT uid, lon, lat FROM points", "points"))
 def decode_points(spark, d):
-    return G.decode_points(G.encode_points(D.users(spark, d)))
+    return G.decode_points(G.encode_points(D.user_profile(spark, d)))
 
 
 @query("rbf_centers", with_ctes(
     "SELECT k, uid, round(lat, 6) AS lat, round(lon, 6) AS lon FROM rbf_centers", "rbf_centers"))
 def rbf_centers(spark, d):
-    sp = G.scaled_points(G.points(D.users(spark, d)))
+    sp = G.scaled_points(G.points(D.user_profile(spark, d)))
     return G.rbf_centers(sp).select("k", "uid", r6(F.col("lat")).alias("lat"),
                                     r6(F.col("lon")).alias("lon"))
 
 
 @query("geo_rbf", with_ctes("SELECT * FROM geo_rbf", "geo_rbf"))
 def geo_rbf(spark, d):
-    lf = FT.location_features(D.users(spark, d))
+    lf = FT.location_features(D.user_profile(spark, d))
     return lf.select("uid", F.transform("geo_rbf", lambda v: F.round(v, 6)).alias("geo_rbf"))
 
 
@@ -510,7 +510,7 @@ def _content(spark, d):
     cu = CL.clean_users(FT.user_table(x))
     user_text = cu.select("uid", F.concat_ws(" ", "passions", "project_titles", "bio").alias("text"))
     post_text = x.post_text.select("po_id", F.concat_ws(" ", "title", "description").alias("text"))
-    geo_feats = FT.location_features(x.users).select("uid", "geo_rbf")
+    geo_feats = FT.location_features(x.profile).select("uid", "geo_rbf")
     return MD.content_embeddings(user_text, post_text, geo_feats)
 
 

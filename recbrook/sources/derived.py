@@ -109,19 +109,19 @@ def logins(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(F.col("user_id").alias("uid"), "ts"))
 
 
-def users(spark: SparkSession, sf_dir: str) -> DataFrame:
+def user_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The per-user columns that need no other table than customer and
+    nation: uid, passions, lat, lon, fed.  Operators that read only these
+    use this frame, so no bio or login join is planned for them."""
     c = read_table(spark, sf_dir, "customer")
     n = read_table(spark, sf_dir, "nation")
-    d = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    login = logins(spark, sf_dir).groupBy("uid").agg(
-        F.sort_array(F.collect_list("ts")).alias("login_times"))
     u = F.col("c_custkey")
     no_geo = u % 17 == 0
     fed = (F.when(u % 13 == 0, F.lit(None))
            .when(u % 11 == 0, F.array().cast("array<bigint>"))
            .otherwise(F.transform(F.sequence(F.lit(0), F.lit(19)),
                                   lambda i: (u * 7 + i * 13) % 120)))
-    base = c.join(n, c.c_nationkey == n.n_nationkey).select(
+    return c.join(n, c.c_nationkey == n.n_nationkey).select(
         u.alias("uid"),
         F.when(u % 7 == 0, F.lit(None)).otherwise(
             F.array("c_mktsegment", "n_name")).alias("passions"),
@@ -129,6 +129,21 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(no_geo, F.lit(None)).otherwise((u * 91 % 36000) / 100 - 180).alias("lon"),
         fed.alias("fed"),
     )
+
+
+def user_login_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(uid, login_times) for every user; NULL without logins."""
+    login = logins(spark, sf_dir).groupBy("uid").agg(
+        F.sort_array(F.collect_list("ts")).alias("login_times"))
+    return user_keys(spark, sf_dir).join(login, "uid", "left")
+
+
+def users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The full users table: profile, ``bio`` and sorted ``login_times``."""
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    login = logins(spark, sf_dir).groupBy("uid").agg(
+        F.sort_array(F.collect_list("ts")).alias("login_times"))
+    base = user_profile(spark, sf_dir)
     return (base.join(d, base.uid == d.doc_id, "left")
             .join(login, "uid", "left")
             .select("uid", "passions", F.col("text").alias("bio"), "lat", "lon", "fed",
