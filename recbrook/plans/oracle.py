@@ -150,7 +150,7 @@ FROM user_keys u LEFT JOIN (
   FROM interactions GROUP BY user_id) c USING (uid)""")
 
 cte("login_intervals", ["users"], """
-SELECT uid, i, date_sub('second', login_times[i + 1], login_times[i + 2]) AS interval
+SELECT uid, CAST(i AS INTEGER) AS i, date_sub('second', login_times[i + 1], login_times[i + 2]) AS interval
 FROM (SELECT uid, login_times, unnest(range(0, len(login_times) - 1)) AS i
       FROM users WHERE len(login_times) >= 2)""")
 

@@ -52,6 +52,18 @@ def digest(columns, rows):
     return hashlib.sha256("\n".join(lines).encode()).hexdigest(), lines
 
 
+def spark_type_name(t):
+    """The DuckDB name of a Spark type, for the schema comparison."""
+    from pyspark.sql import types as T
+    if isinstance(t, T.ArrayType):
+        return spark_type_name(t.elementType) + "[]"
+    if isinstance(t, T.StructType):
+        return "STRUCT(" + ", ".join(f"{f.name} {spark_type_name(f.dataType)}" for f in t.fields) + ")"
+    return {T.LongType: "BIGINT", T.IntegerType: "INTEGER", T.DoubleType: "DOUBLE",
+            T.FloatType: "FLOAT", T.StringType: "VARCHAR", T.TimestampNTZType: "TIMESTAMP",
+            T.BooleanType: "BOOLEAN"}.get(type(t), str(t))
+
+
 def duck(sf_dir):
     con = duckdb.connect()
     for t in TABLES:
@@ -72,7 +84,9 @@ def check(spark, sf_dir, keys=None, verbose=True):
     for k in keys or sorted(qs):
         t0 = time.time()
         try:
-            cols, rows = spark_rows(qs[k](spark, sf_dir))
+            sdf = qs[k](spark, sf_dir)
+            stypes = {f.name: spark_type_name(f.dataType) for f in sdf.schema.fields}
+            cols, rows = spark_rows(sdf)
         except Exception as e:  # noqa: BLE001
             results[k] = ("SPARK-ERROR", str(e)[:400])
             print(k, "SPARK-ERROR", str(e)[:400]) if verbose else None
@@ -83,6 +97,8 @@ def check(spark, sf_dir, keys=None, verbose=True):
             print(f"{k:28s} rows-only n={len(rows)} {ts:.1f}s") if verbose else None
             continue
         try:
+            rel = con.sql(sq[k])
+            dtypes = {n: str(t) for n, t in zip(rel.columns, rel.types)}
             cur = con.execute(sq[k])
             dcols = [c[0] for c in cur.description]
             drows = cur.fetchall()
@@ -92,13 +108,17 @@ def check(spark, sf_dir, keys=None, verbose=True):
             continue
         hs, ls = digest(cols, rows)
         hd, ld = digest(dcols, drows)
-        ok = sorted(cols) == sorted(dcols) and len(rows) == len(drows) and hs == hd
+        ok = (sorted(cols) == sorted(dcols) and len(rows) == len(drows) and hs == hd
+              and stypes == dtypes)
         results[k] = ("OK" if ok else "MISMATCH", len(rows), len(drows))
         if verbose:
             print(f"{k:28s} {'OK' if ok else 'MISMATCH'} spark={len(rows)} duck={len(drows)} {ts:.1f}s")
             if not ok:
                 if sorted(cols) != sorted(dcols):
                     print("   cols", sorted(cols), sorted(dcols))
+                if stypes != dtypes:
+                    print("   types", {c: (stypes.get(c), dtypes.get(c)) for c in set(stypes) | set(dtypes)
+                                       if stypes.get(c) != dtypes.get(c)})
                 a, b = set(ls), set(ld)
                 for x in sorted(a - b)[:3]:
                     print("   spark-only", x[:300])
