@@ -28,12 +28,14 @@ class Inputs:
     collabs: DataFrame
     interactions: DataFrame
     profile: DataFrame  # users' own columns only (no bio, no logins)
+    bio: DataFrame      # (uid, bio) for users with a bio
 
     @classmethod
     def load(cls, spark: SparkSession, sf_dir: str) -> "Inputs":
         return cls(D.users(spark, sf_dir), D.post_text(spark, sf_dir),
                    D.comments(spark, sf_dir), D.collabs(spark, sf_dir),
-                   D.interactions(spark, sf_dir), D.user_profile(spark, sf_dir))
+                   D.interactions(spark, sf_dir), D.user_profile(spark, sf_dir),
+                   D.user_bio(spark, sf_dir))
 
 
 def interactions_with_negatives(x: Inputs) -> DataFrame:
@@ -87,8 +89,7 @@ def user_texts(x: Inputs, iwn: DataFrame | None = None) -> DataFrame:
     joined = lambda c: F.array_join(F.col(c), " ")
     return (x.profile.select("uid", F.lit("passions").alias("_col"),
                              F.coalesce(joined("passions"), F.lit("")).alias("text"))
-            .unionByName(x.users.filter(F.col("bio").isNotNull())
-                         .select("uid", F.lit("bio").alias("_col"), F.col("bio").alias("text")))
+            .unionByName(x.bio.select("uid", F.lit("bio").alias("_col"), F.col("bio").alias("text")))
             .unionByName(collabs.project_titles_by_user(x.collabs)
                          .select("uid", F.lit("project_titles").alias("_col"), joined("project_titles").alias("text")))
             .unionByName(U.recent_titles_by_user(iwn, x.post_text)

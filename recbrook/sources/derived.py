@@ -131,6 +131,15 @@ def user_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def user_bio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(uid, bio) for users that have one.  An inner join, so Spark may
+    build on the user keys and stream the long texts in parallel (a left
+    join from users would have to broadcast the texts instead)."""
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "text").hint("merge")
+    keys = user_keys(spark, sf_dir)
+    return d.join(keys, d.doc_id == keys.uid).select("uid", F.col("text").alias("bio"))
+
+
 def user_login_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(uid, login_times) for every user; NULL without logins."""
     login = logins(spark, sf_dir).groupBy("uid").agg(
@@ -139,8 +148,12 @@ def user_login_times(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The full users table: profile, ``bio`` and sorted ``login_times``."""
-    d = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    """The full users table: profile, ``bio`` and sorted ``login_times``.
+
+    Joins that carry long texts are hinted to sort-merge: Spark sizes a
+    string column at a fixed 20 bytes, so it would otherwise broadcast the
+    texts and leave the text work to one task."""
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "text").hint("merge")
     login = logins(spark, sf_dir).groupBy("uid").agg(
         F.sort_array(F.collect_list("ts")).alias("login_times"))
     base = user_profile(spark, sf_dir)
