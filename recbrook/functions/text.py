@@ -13,18 +13,10 @@ TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
 
 
 def tokenize(text: Column) -> Column:
-    """Whole-text tokens: lower-case, split on non letter/digit runs."""
-    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), TOKEN_SPLIT),
-                    lambda t: t != "")
-
-
-def encode_ids(text: Column, vocab_map: Column, max_length: int) -> Column:
-    """``[CLS] ids... [SEP]`` truncated to ``max_length`` including both
-    marks; unknown tokens map to ``UNK_ID``."""
-    body = F.slice(tokenize(text), 1, max_length - 2)
-    ids = F.transform(body, lambda t: F.coalesce(F.try_element_at(vocab_map, t),
-                                                 F.lit(UNK_ID)))
-    return F.concat(F.array(F.lit(CLS_ID)), ids, F.array(F.lit(SEP_ID)))
+    """Whole-text tokens: lower-case, split on non letter/digit runs.
+    Empty pieces (leading or trailing separators) are dropped with
+    ``array_remove``, a compiled function, rather than a lambda."""
+    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), TOKEN_SPLIT), "")
 
 
 def pad_ids(ids: Column, width: Column) -> Column:
