@@ -1,10 +1,12 @@
 """Streaming jobs: running interaction counts and refresh-on-arrival.
 
-State is bounded: de-duplication on ``event_id`` keeps keys only within the
-watermark, and counts are appended per micro-batch (keyed by batch id, so a
-replayed batch overwrites its own output) and summed on read, so no
-unbounded count state lives in the stream.  Checkpoints and outputs go
-under the session's shared checkpoint folder.
+Exactly-once without stream state and without dropping late events: each
+micro-batch appends its events (de-duplicated within the batch) under its
+batch id, so a replayed batch overwrites its own output; readers
+de-duplicate on ``event_id`` across batches (a shuffle on event_id) and
+then aggregate.  A replayed event is counted once however late it comes,
+and a late original is still counted.  Checkpoints and outputs go under
+the session's shared checkpoint folder.
 """
 
 from __future__ import annotations
@@ -21,8 +23,7 @@ from ..session import scratch_path
 from ..sources.derived import interactions_from_events
 from ..operators.users import interaction_counts_by_user
 
-# Fixed value: how late a replayed event may arrive and still be recognised.
-DEDUP_WATERMARK = "1 hour"
+EVENT_COLS = ["event_id", "user_id", "post_id", "interaction_type"]
 
 
 def event_stream(spark: SparkSession, source_dir: str, file_glob: str = "events*.parquet") -> DataFrame:
@@ -31,15 +32,15 @@ def event_stream(spark: SparkSession, source_dir: str, file_glob: str = "events*
             .parquet(source_dir))
 
 
-def deduplicated_interactions(events: DataFrame) -> DataFrame:
-    """Interactions with replays of the same ``event_id`` dropped."""
-    it = interactions_from_events(events)
-    # Watermarks need TIMESTAMP (with zone); event times are zone-less, so the
-    # watermark runs on their UTC reading and the copy is dropped afterwards.
-    return (it.withColumn("_event_time", F.to_utc_timestamp(F.col("interaction_time").cast("timestamp"), "UTC"))
-            .withWatermark("_event_time", DEDUP_WATERMARK)
-            .dropDuplicatesWithinWatermark(["event_id"])
-            .drop("_event_time"))
+def batch_events(batch: DataFrame) -> DataFrame:
+    """One micro-batch's interaction events, each event id once."""
+    return batch.select(*EVENT_COLS).dropDuplicates(["event_id"])
+
+
+def distinct_events(out_dir: str) -> DataFrame:
+    """All events written so far, each event id once."""
+    spark = SparkSession.getActiveSession()
+    return spark.read.parquet(out_dir).select(*EVENT_COLS).dropDuplicates(["event_id"])
 
 
 def run_per_batch(stream: DataFrame, per_batch: Callable[[DataFrame], DataFrame], out_dir: str,
@@ -62,21 +63,19 @@ def _dirs(spark: SparkSession, name: str) -> tuple[str, str]:
 def stream_counts(spark: SparkSession, source_dir: str, file_glob: str = "events*.parquet") -> DataFrame:
     """Running (user_id, interaction_type) counts over the event stream."""
     out, ckpt = _dirs(spark, "stream-counts")
-    counts = lambda b: b.groupBy("user_id", "interaction_type").agg(F.count(F.lit(1)).alias("n"))
-    run_per_batch(deduplicated_interactions(event_stream(spark, source_dir, file_glob)), counts, out, ckpt)
-    return (spark.read.parquet(out).groupBy("user_id", "interaction_type")
-            .agg(F.sum("n").cast("bigint").alias("n")))
+    run_per_batch(interactions_from_events(event_stream(spark, source_dir, file_glob)),
+                  batch_events, out, ckpt)
+    return (distinct_events(out).groupBy("user_id", "interaction_type")
+            .agg(F.count(F.lit(1)).alias("n")))
 
 
 def stream_refresh(spark: SparkSession, source_dir: str, file_glob: str = "events*.parquet") -> DataFrame:
-    """Refresh on arrival: each micro-batch of new events refreshes the
-    per-user interaction counts; reading sums the refreshed increments."""
+    """Refresh on arrival: every micro-batch lands its events, and the
+    per-user interaction counts are refreshed from all events so far."""
     out, ckpt = _dirs(spark, "stream-refresh")
-    run_per_batch(deduplicated_interactions(event_stream(spark, source_dir, file_glob)),
-                  interaction_counts_by_user, out, ckpt)
-    cols = ["viewed_posts", "upvoted_posts", "commented_posts"]
-    return (spark.read.parquet(out).groupBy("uid")
-            .agg(*[F.sum(c).cast("bigint").alias(c) for c in cols]))
+    run_per_batch(interactions_from_events(event_stream(spark, source_dir, file_glob)),
+                  batch_events, out, ckpt)
+    return interaction_counts_by_user(distinct_events(out))
 
 
 def stream_messages(spark: SparkSession, message_dir: str) -> tuple[DataFrame, DataFrame]:
