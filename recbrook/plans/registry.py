@@ -591,7 +591,6 @@ def stream_messages(spark, d):
 
 # ---- feature files: written by the transformation step, read as float32 -----------
 from ..sources import io as IO  # noqa: E402
-from ..schemas import USER_DENSE_COLS  # noqa: E402
 
 
 def _feature_file(spark, d, name, df):
