@@ -36,8 +36,11 @@ def fed_left_join(fed: DataFrame, interactions: DataFrame) -> DataFrame:
 
 def negative_samples(fed: DataFrame, interactions: DataFrame) -> DataFrame:
     """Fed pairs with no interaction on the same (user, post): an anti join
-    that keeps duplicate fed pairs (it is not ``EXCEPT``)."""
-    seen = interactions.select("user_id", "post_id")
+    that keeps duplicate fed pairs (it is not ``EXCEPT``).  The interaction
+    side is reduced to distinct pairs first: a partial aggregate on the
+    join keys, so repeats are dropped before the shuffle and the anti join
+    reuses that partitioning."""
+    seen = interactions.select("user_id", "post_id").distinct()
     return fed.join(seen, ["user_id", "post_id"], "left_anti")
 
 
