@@ -29,13 +29,14 @@ class Inputs:
     interactions: DataFrame
     profile: DataFrame  # users' own columns only (no bio, no logins)
     bio: DataFrame      # (uid, bio) for users with a bio
+    logins: DataFrame   # (uid, login_times) for every user
 
     @classmethod
     def load(cls, spark: SparkSession, sf_dir: str) -> "Inputs":
         return cls(D.users(spark, sf_dir), D.post_text(spark, sf_dir),
                    D.comments(spark, sf_dir), D.collabs(spark, sf_dir),
                    D.interactions(spark, sf_dir), D.user_profile(spark, sf_dir),
-                   D.user_bio(spark, sf_dir))
+                   D.user_bio(spark, sf_dir), D.user_login_times(spark, sf_dir))
 
 
 def interactions_with_negatives(x: Inputs) -> DataFrame:
@@ -53,6 +54,14 @@ def user_table(x: Inputs, iwn: DataFrame | None = None) -> DataFrame:
             .join(U.recent_titles_by_user(iwn, x.post_text), "uid", "left"))
 
 
+def user_numeric(x: Inputs) -> DataFrame:
+    """(uid, login_frequency, viewed_posts, upvoted_posts, commented_posts):
+    the ranking model's user scalars, without reading any user text."""
+    return (x.logins.select("uid", U.login_frequency().alias("login_frequency"))
+            .join(U.interaction_counts_by_user(x.interactions), "uid", "left")
+            .na.fill(0, subset=list(U.COUNTED_TYPES)))
+
+
 def post_table(x: Inputs) -> DataFrame:
     """Posts with comments, counts, mean view time and CTR."""
     feats = posts.post_features(x.post_text, x.interactions, x.comments)

@@ -393,7 +393,7 @@ def mean_pool(spark, d):
 
 
 def _user_dense(spark, d):
-    return FT.dense_user_vector(FT.user_table(_inputs(spark, d)))
+    return FT.dense_user_vector(FT.user_numeric(_inputs(spark, d)))
 
 
 def _post_dense(spark, d):
@@ -430,7 +430,7 @@ def _examples(spark, d):
     x = _inputs(spark, d)
     uv, pv = _vecs(spark, d)
     iwn = FT.interactions_with_negatives(x)
-    return X.training_examples(iwn, FT.dense_user_vector(FT.user_table(x, iwn)),
+    return X.training_examples(iwn, FT.dense_user_vector(FT.user_numeric(x)),
                                FT.dense_post_vector(FT.post_table(x)),
                                uv.drop("label"), pv.drop("label"))
 
@@ -606,7 +606,7 @@ def _feature_file(spark, d, name, df):
     "CAST(round(s.login_frequency, 6) AS FLOAT) AS login_frequency "
     "FROM user_counts c JOIN scaled_lf s USING (uid)", "user_counts", "scaled_lf"))
 def read_user_features(spark, d):
-    ut = FT.scaled_user_features(FT.user_table(_inputs(spark, d)))
+    ut = FT.scaled_user_features(FT.user_numeric(_inputs(spark, d)))
     out = ut.select("uid", *U.COUNTED_TYPES, r6(F.col("login_frequency")).alias("login_frequency"))
     return IO.read_user_features(spark, _feature_file(spark, d, "users", out))
 
