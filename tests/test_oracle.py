@@ -31,3 +31,16 @@ def test_entry(spark):
     df = entry(spark)
     assert df.columns == ["user_id", "rank", "post_id", "probability", "score"]
     assert df.count() > 0
+
+
+def test_entry_module_loads_by_path(tmp_path, monkeypatch):
+    import importlib.util
+    import os
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    monkeypatch.chdir(tmp_path)
+    monkeypatch.setattr(sys, "path", [p for p in sys.path if os.path.abspath(p or ".") != root])
+    spec = importlib.util.spec_from_file_location("entry_by_path", os.path.join(root, "__spark_entry__.py"))
+    mod = importlib.util.module_from_spec(spec)
+    spec.loader.exec_module(mod)
+    assert set(mod.oracle_sql()) <= set(mod.queries())
