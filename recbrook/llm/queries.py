@@ -9,8 +9,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .embeddings import near_duplicates
 from .fingerprints import neighbour_fingerprints
 from .html import extract_main_text
+from .language import fit, learnable, predict
+from .lm import corpus_counts, score
+from .mixing import mix, mix_sql
+from .packing import pack_documents
 from .tokens import count_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +37,44 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
+@query
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    usable, held_out = learnable()
+    return predict(docs.withColumn("held_out", held_out), fit(docs, usable)) \
+        .select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query
+def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op3_source_mixing"] = mix_sql()
+
+
+@query
+def op5_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target: documents labelled of good quality.  Background: all documents."""
+    good = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id").distinct()
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = good.withColumn("target", F.lit(True))
+    counts = corpus_counts(docs.join(marked, "doc_id", "left"), "text", "target")
+    return score(docs, counts).drop("text").join(marked, "doc_id", "left") \
+        .select("doc_id", F.coalesce("target", F.lit(False)).alias("target"), "n_symbols", "target_loss",
+                "background_loss", "score")
+
+
 @query
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbour_fingerprints(table(spark, sf_dir, "documents"))
