@@ -12,6 +12,9 @@ bins are open the fullest closes.  (In random order the same packer needs some
 
 from __future__ import annotations
 
+import json
+import re
+from array import array
 from collections.abc import Iterator
 from zlib import crc32
 
@@ -20,13 +23,25 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .tokens import byte_symbols
+
 #: Pieces of a packing group, open bins, and chunks a task remembers.
 GROUP, OPEN, REMEMBERED = 50_000, 16_384, 700_000
 
 
 class Encoder:
     """Ids of texts as the tokenizer gives them, chunk by chunk: its pieces
-    never span a space or a line feed, so equal chunks are encoded once."""
+    never span a space or a line feed, so equal chunks are encoded once.
+
+    For a file that drops case and splits at letters (``word_bpe``), chunks are
+    made equal more often: case is dropped before the lookup where only Latin
+    letters without combining marks occur, a mark of punctuation after a letter
+    is a piece of its own, and a chunk of plain lower-case letters, which is one
+    piece that the normaliser leaves alone, goes to the library's BPE model
+    directly.  Other files are encoded text by text."""
+
+    MARKS = frozenset(".,;:!?")
+    LETTERS = frozenset(c for c in map(chr, range(0x130)) if c.isalpha())
 
     def __init__(self, spec: str):
         from tokenizers import Tokenizer
@@ -34,19 +49,49 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.known: dict[str, bytes] = {"": b""}
+        self.unusual = re.compile("[^\x00-\u02ff]|<\\|").search
+        self.letters = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+").fullmatch
+        shown = {b: c for c, b in byte_symbols().items()}
+        self.as_bytes = {c: "".join(shown[b] for b in chr(c).encode()) for c in range(0xDF, 0x100)}
+        parts = json.loads(spec)
+        kinds = [[x["type"] for x in (parts.get(k) or {}).get(v, [])] for k, v in
+                 (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers"))]
+        self.by_chunk = kinds == [["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]]
+        if self.by_chunk:
+            self.learn(self.MARKS)
+
+    def learn(self, chunks) -> None:
+        known, tokenize, odd = self.known, self.tokenizer.model.tokenize, []
+        for c in chunks:
+            if self.letters(c):
+                known[c] = array("I", [t.id for t in tokenize(c if c.isascii() else c.translate(self.as_bytes))]).tobytes()
+            else:
+                odd.append(c)
+        got = self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)
+        known.update((c, array("I", e.ids).tobytes()) for c, e in zip(odd, got))
+
+    def split(self, text: str) -> list[str]:
+        return (text if self.unusual(text) else text.lower()).replace("\n", " ").split(" ")
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        if len(self.known) > REMEMBERED:
-            self.known = {"": b""}
-        for text in texts:
-            chunks = text.replace("\n", " ").split(" ")
+        if not self.by_chunk:
+            for text in texts:
+                yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            return
+        marks = self.MARKS
+        for s in range(0, len(texts), 64):
+            if len(self.known) > REMEMBERED:
+                self.known = {"": b""}
+                self.learn(marks)
             known = self.known
-            new = list(set(chunks).difference(known))
-            if new:
-                got = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-                known.update((c, np.array(e.ids, "<u4").tobytes()) for c, e in zip(new, got))
-            yield b"".join(map(known.__getitem__, chunks))
+            parts = [self.split(t) for t in texts[s:s + 64]]
+            new = set().union(*parts).difference(known)
+            ended = [c for c in new if c[-1] in marks and c[-2:-1] in self.LETTERS]
+            self.learn(new.difference(ended).union(c[:-1] for c in ended).difference(known))
+            known.update((c, known[c[:-1]] + known[c[-1]]) for c in ended)
+            for p in parts:
+                yield b"".join(map(known.__getitem__, p))
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, id_col: str = "doc_id",
