@@ -69,8 +69,9 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id").distinct()
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     marked = good.withColumn("target", F.lit(True))
-    counts = corpus_counts(docs.join(marked, "doc_id", "left"), "text", "target")
-    return score(docs, counts).drop("text").join(marked, "doc_id", "left") \
+    # A merge join at every size: labels grow with the documents.
+    counts = corpus_counts(docs.join(marked.hint("merge"), "doc_id", "left"), "text", "target")
+    return score(docs, counts).drop("text").join(marked.hint("merge"), "doc_id", "left") \
         .select("doc_id", F.coalesce("target", F.lit(False)).alias("target"), "n_symbols", "target_loss",
                 "background_loss", "score")
 
