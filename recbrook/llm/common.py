@@ -13,13 +13,10 @@ from pyspark.sql import functions as F
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor sees: ``spark.checkpoint.dir`` of the session.
     Where it is unset (a local session) one is made and set."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        root = getattr(spark, "_llm_shared_dir", None)
-        if root is None:
-            root = "file://" + tempfile.mkdtemp(prefix="llm-shared-")
-            spark._llm_shared_dir = root
-            spark.sparkContext.setCheckpointDir(root)
+        spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="llm-shared-"))
+        root = spark.sparkContext.getCheckpointDir()
     return root
 
 

@@ -9,6 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import neardup
 from .embeddings import near_duplicates
 from .fingerprints import neighbour_fingerprints
 from .html import extract_main_text
@@ -76,6 +77,11 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
                 "background_loss", "score")
 
 
+@query
+def op6_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "group_id", "kept")
+
+
 @query
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbour_fingerprints(table(spark, sf_dir, "documents"))
