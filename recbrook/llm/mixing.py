@@ -82,15 +82,17 @@ def apportion(parties: DataFrame, votes: str, seats: Column, by: tuple[str, ...]
 
 
 def mix(docs: DataFrame, text: str = "text", source: str = "source", id_col: str = "doc_id",
-        seed: int = 1, keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, taken (and the
-    columns ``keep``).  ``taken`` is the words the mix takes of it, repeats
+        seed: int = 1, copies: bool = False) -> DataFrame:
+    """One row per document: doc_id, size, source_size, target, taken and, with
+    ``copies``, how often a mix of whole documents takes it: taken / size
+    rounded down or up, by turns (steps of the golden ratio) in a shard's order
+    of size, so that sources come near their targets too.  ``taken`` is the words the mix takes of it, repeats
     counted, 0 to ``REPEAT`` times its size; documents without words take 0,
     a null source is a source of its own, null ids and repeated rows are rows
     like others (which of several equal rows gives the words is of no
     account).  Text does not move: only ids, sources and sizes are shuffled."""
     sized = written(docs.select(F.col(id_col).alias("doc_id"), F.col(source).cast("string").alias("source"),
-                                words(F.col(text)).alias("size"), *keep), "mix-sizes")
+                                words(F.col(text)).alias("size")), "mix-sizes")
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows"))
     plan = targets(sizes).select("source", "rank", "source_size", "rows", "target",
                                  F.round(F.sum("target").over(Window.partitionBy()) / BLOCK).cast("bigint").alias("blocks"))
@@ -121,8 +123,14 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", id_col: str
         here = f"((({x} div {BLOCK} + 1) * extra + start) div n - {picked})"
         return F.expr(f"{BLOCK} * {picked} + {here} * ({x} % {BLOCK})")
 
-    return d.select("doc_id", "size", "source_size", "target",
-                    (F.col("each") * F.col("size") + upto("to") - upto("from")).alias("taken"), *keep)
+    out = d.withColumn("taken", F.col("each") * F.col("size") + upto("to") - upto("from"))
+    columns = ["doc_id", "size", "source_size", "target", "taken"]
+    if copies:
+        turn = F.row_number().over(Window.partitionBy("rank", "shard").orderBy("size", "place", "doc_id")) * 0.6180339887498949
+        out = out.withColumn("copies", F.when(F.col("size") == 0, 0).otherwise(
+            F.floor(F.col("taken") / F.col("size") + turn - F.floor(turn))).cast("int"))
+        columns.append("copies")
+    return out.select(*columns)
 
 
 def mix_sql(table: str = "documents", seed: int = 1) -> str:

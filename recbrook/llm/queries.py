@@ -14,6 +14,7 @@ from .embeddings import near_duplicates
 from .fingerprints import neighbour_fingerprints
 from .html import extract_main_text
 from .language import fit, learnable, predict
+from .lines import fuzzy_lines
 from .lm import corpus_counts, score
 from .mixing import mix, mix_sql
 from .packing import pack_documents
@@ -59,6 +60,11 @@ def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE["op3_source_mixing"] = mix_sql()
 
 
+@query
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fuzzy_lines(table(spark, sf_dir, "documents")).drop("row")
+
+
 @query
 def op5_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"))
