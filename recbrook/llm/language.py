@@ -58,21 +58,25 @@ class Model:
         return k @ self.weights + self.bias
 
 
-def train(x: np.ndarray, labels: list[str], per_class: int = 40, ridge: float = 1e-4) -> Model | None:
-    """``x``: presence rows of the sample, in a fixed order; the first
-    ``per_class`` rows of each class are its landmarks."""
+def train(packed: np.ndarray, labels: list[str], per_class: int = 40, ridge: float = 1e-4) -> Model | None:
+    """``packed``: presence bits of the sample (``BINS`` / 8 bytes a row), in a
+    fixed order; the first ``per_class`` rows of each class are its landmarks."""
     names = sorted(set(labels))
     if not names:
         return None
+
+    def unit(bits: np.ndarray) -> np.ndarray:
+        x = np.unpackbits(bits, axis=1).astype(np.float32)
+        return x / np.sqrt(x.sum(1, keepdims=True))
+
     y = np.array([names.index(v) for v in labels])
     marks = np.concatenate([np.flatnonzero(y == c)[:per_class] for c in range(len(names))])
-    unit = x / np.sqrt(x.sum(1, keepdims=True))
-    land = unit[marks]
+    land = unit(packed[marks])
     kmm = (land @ land.T).astype(np.float64)
     val, vec = np.linalg.eigh(kmm)
     good = val > 1e-6 * val.max()
     white = vec[:, good] / np.sqrt(val[good])
-    z = (unit @ land.T).astype(np.float64) @ white
+    z = np.concatenate([unit(packed[i:i + 128]) @ land.T for i in range(0, len(packed), 128)]).astype(np.float64) @ white
     mean = z.mean(0)
     z -= mean
     target = np.where(y[:, None] == np.arange(len(names)), 1.0, -1.0)
@@ -81,7 +85,7 @@ def train(x: np.ndarray, labels: list[str], per_class: int = 40, ridge: float =
     base = (target * weight).sum(0) / weight.sum()
     g = z.T @ (z * weight) + ridge * len(y) * np.eye(z.shape[1])
     b = np.linalg.solve(g, z.T @ ((target - base) * weight))
-    return Model(names, land.astype(np.float32), white @ b, base - mean @ b)
+    return Model(names, land, white @ b, base - mean @ b)
 
 
 def fit(docs: DataFrame, usable, text: str = "text", lang: str = "lang", id_col: str = "doc_id",
@@ -107,8 +111,7 @@ def fit(docs: DataFrame, usable, text: str = "text", lang: str = "lang", id_col:
         return pd.Series([np.packbits(presence([t])[0] > 0).tobytes() for t in texts])
 
     rows = picked.select("l", "r", packed("t").alias("p")).toPandas().sort_values(["l", "r"])
-    x = np.unpackbits(np.frombuffer(b"".join(rows["p"]), np.uint8).reshape(len(rows), -1), axis=1)
-    return train(x.astype(np.float32), rows["l"].tolist(), per_class)
+    return train(np.frombuffer(b"".join(rows["p"]), np.uint8).reshape(len(rows), -1), rows["l"].tolist(), per_class)
 
 
 def learnable(id_col: str = "doc_id"):
