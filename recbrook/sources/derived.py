@@ -39,7 +39,7 @@ def interactions_from_events(events: DataFrame) -> DataFrame:
     return ev.select(
         "event_id",
         "user_id",
-        F.get_json_object("props", "$.k").cast("bigint").alias("post_id"),
+        F.get_json_object("props", "$.k").try_cast("bigint").alias("post_id"),
         interaction_type_of(et, F.col("event_id")).alias("interaction_type"),
         F.col("ts").alias("interaction_time"),
         F.when(et == "view", F.col("value")).alias("view_duration_secs"),
