@@ -21,4 +21,4 @@ def tokenize(text: Column) -> Column:
 
 def pad_ids(ids: Column, width: Column) -> Column:
     """Right-pad with ``PAD_ID`` (or cut) to exactly ``width`` ids."""
-    return F.slice(F.concat(ids, F.array_repeat(F.lit(PAD_ID), width)), 1, width)
+    return F.slice(F.concat(ids, F.array_repeat(F.lit(PAD_ID).cast("bigint"), width)), 1, width)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.arrays import prepend
+from ..functions.text import tokenize
 
 
 def collab_members(collabs: DataFrame) -> DataFrame:
@@ -22,9 +23,24 @@ def project_titles_by_user(collabs: DataFrame) -> DataFrame:
     ``array_contains``.  Members are made distinct per collab first so a
     uid listed twice still matches once.
     """
-    members = collab_members(collabs).select(
-        "title", F.explode(F.array_distinct("all_team_uids")).alias("uid"))
-    return members.groupBy("uid").agg(F.sort_array(F.collect_list("title")).alias("project_titles"))
+    return member_titles(collabs).groupBy("uid").agg(
+        F.sort_array(F.collect_list("title")).alias("project_titles"))
+
+
+def member_titles(collabs: DataFrame) -> DataFrame:
+    """(uid, title) per member of each collab."""
+    return collab_members(collabs).select(
+        F.explode(F.array_distinct("all_team_uids")).alias("uid"), "title")
+
+
+def leading_titles(collabs: DataFrame, tokens: int) -> DataFrame:
+    """(uid, project_titles): a user's first ``tokens`` titles that have a
+    token, which hold the first ``tokens`` tokens of all its titles, so no
+    user's titles are collected whole."""
+    w = Window.partitionBy("uid").orderBy("title")
+    first = (member_titles(collabs).filter(F.size(tokenize(F.col("title"))) > 0)
+             .withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= tokens))
+    return first.groupBy("uid").agg(F.sort_array(F.collect_list("title")).alias("project_titles"))
 
 
 def user_project_titles(user_keys: DataFrame, collabs: DataFrame) -> DataFrame:

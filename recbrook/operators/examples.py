@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.vectors import dense, dot, l2_normalize, rule_matrix, sigmoid
+from ..functions.vectors import dense, dot, rule_matrix, sigmoid
 
 # Width of the scalar-feature projections in the ranking model.
 SPARSE_PROJECTION = 16
@@ -19,23 +19,24 @@ def embedding_lookup(keys: DataFrame, key: str, vectors: DataFrame, out: str = "
 
 
 def scored_pairs(pairs: DataFrame, user_vecs: DataFrame, post_vecs: DataFrame) -> DataFrame:
-    """``score`` = cosine of the user and post vectors for every
+    """``score`` = dot product of the user and post vectors for every
     (user_id, post_id) row; label = weight > 0 when a weight is present."""
-    u = user_vecs.select(F.col("id").alias("user_id"), l2_normalize(F.col("embedding")).alias("_u"))
-    p = post_vecs.select(F.col("id").alias("post_id"), l2_normalize(F.col("embedding")).alias("_p"))
+    u = user_vecs.select(F.col("id").alias("user_id"), F.col("embedding").alias("_u"))
+    p = post_vecs.select(F.col("id").alias("post_id"), F.col("embedding").alias("_p"))
     out = pairs.join(u, "user_id").join(p, "post_id").withColumn("score", dot(F.col("_u"), F.col("_p")))
     if "weight" in pairs.columns:
         out = out.withColumn("label", (F.col("weight") > 0).cast("int"))
     return out.drop("_u", "_p")
 
 
-def mean_pool(history: DataFrame, key: str, vec: str, width: int) -> DataFrame:
-    """Element-wise mean of the vectors of each key: one partial aggregate
-    (per-position sums and a count), then one array per key."""
-    sums = [F.sum(F.col(vec)[i].cast("double")).alias(f"_s{i}") for i in range(width)]
-    agg = history.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), *sums)
-    return agg.select(key, F.array(*[F.col(f"_s{i}") / F.col("_n") for i in range(width)])
-                      .alias("pooled"))
+def mean_pool(history: DataFrame, key: str, vec: str) -> DataFrame:
+    """Element-wise mean of the vectors of each key, whatever their width:
+    means per (key, position), aggregated map-side, so a hot key ships one
+    row per position and task; then one array per key."""
+    parts = history.select(key, F.posexplode(vec).alias("_i", "_v")).groupBy(key, "_i").agg(
+        F.avg(F.col("_v").cast("double")).alias("_m"))
+    return parts.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_i", "_m"))).alias("_p")).select(
+        key, F.transform("_p", lambda s: s["_m"]).alias("pooled"))
 
 
 def project_dense(df: DataFrame, col: str, n_in: int, n_out: int = SPARSE_PROJECTION,

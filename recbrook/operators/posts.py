@@ -10,18 +10,34 @@ partial-count row per task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.arrays import array_length, ordered_values
+from ..functions.arrays import ordered_values
+from ..functions.text import tokenize
 
 
 def post_comments(post_keys: DataFrame, comments: DataFrame) -> DataFrame:
     """``ARRAY_AGG(content)`` per post in turn order; NULL for none."""
-    agg = (comments.groupBy("po_id")
-           .agg(F.sort_array(F.collect_list(F.struct("turn", "content"))).alias("_c"))
-           .select("po_id", ordered_values(F.col("_c"), "content").alias("comments")))
-    return post_keys.select("po_id").join(agg, "po_id", "left")
+    return post_keys.select("po_id").join(comments_by_post(comments), "po_id", "left")
+
+
+def comments_by_post(comments: DataFrame) -> DataFrame:
+    """(po_id, comments) for posts that have one."""
+    return (comments.groupBy("po_id")
+            .agg(F.sort_array(F.collect_list(F.struct("turn", "content"))).alias("_c"))
+            .select("po_id", ordered_values(F.col("_c"), "content").alias("comments")))
+
+
+def leading_comments(comments: DataFrame, tokens: int) -> DataFrame:
+    """(po_id, comments): a post's first ``tokens`` comments, in turn order,
+    that have a token, which hold the first ``tokens`` tokens of all its
+    comments, so no post's comments are collected whole."""
+    w = Window.partitionBy("po_id").orderBy("turn", "content")
+    first = (comments.filter(F.size(tokenize(F.col("content"))) > 0)
+             .withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= tokens))
+    return (first.groupBy("po_id").agg(F.sort_array(F.collect_list(F.struct("_n", "content"))).alias("_c"))
+            .select("po_id", ordered_values(F.col("_c"), "content").alias("comments")))
 
 
 def post_engagement(interactions: DataFrame) -> DataFrame:
@@ -45,7 +61,7 @@ def post_features(post_text: DataFrame, interactions: DataFrame, comments: DataF
     avg_time_viewed.  Posts without interactions keep NULL counts (the
     arrays are NULL there); ``avg_time_viewed`` is 0 without views."""
     eng = post_engagement(interactions)
-    com = post_comments(post_text, comments)
+    com = comments.groupBy("po_id").agg(F.count("*").alias("comment_count"))
     n = F.col("n_view_lengths")
     return (post_text.select("po_id", "description")
             .join(eng, "po_id", "left")
@@ -56,7 +72,7 @@ def post_features(post_text: DataFrame, interactions: DataFrame, comments: DataF
                 "vote_count",
                 (F.col("upvotes") - F.col("downvotes")).alias("upvote_count"),
                 "view_count",
-                array_length(F.col("comments")).alias("comment_count"),
+                "comment_count",
                 F.when(n > 0, F.col("view_seconds") / n).otherwise(F.lit(0.0))
                 .alias("avg_time_viewed"),
             ))
@@ -72,6 +88,12 @@ def post_ctr(post_keys: DataFrame, fed: DataFrame, interactions: DataFrame) -> D
     pair first, so a hot post is spread over many tasks before its final
     count.
     """
+    return with_ctr(post_keys.select("po_id"), fed, interactions).select(
+        "po_id", "fed_users", "viewers", "ctr", "view_through_rate")
+
+
+def with_ctr(posts: DataFrame, fed: DataFrame, interactions: DataFrame) -> DataFrame:
+    """``posts`` with the columns of ``post_ctr``."""
     fed_n = (fed.select(F.col("post_id").alias("po_id"), "user_id").distinct()
              .groupBy("po_id").agg(F.count("*").alias("fed_users")))
     viewers = (interactions.filter(F.col("interaction_type") == "view")
@@ -79,10 +101,7 @@ def post_ctr(post_keys: DataFrame, fed: DataFrame, interactions: DataFrame) -> D
                .groupBy("po_id").agg(F.count("*").alias("viewers")))
     fed_users = F.coalesce(F.col("fed_users"), F.lit(0))
     n_viewers = F.coalesce(F.col("viewers"), F.lit(0))
-    return (post_keys.select("po_id")
-            .join(fed_n, "po_id", "left").join(viewers, "po_id", "left")
-            .select("po_id",
-                    fed_users.alias("fed_users"),
-                    n_viewers.alias("viewers"),
-                    F.try_divide(fed_users, n_viewers).alias("ctr"),
-                    F.try_divide(n_viewers, fed_users).alias("view_through_rate")))
+    return (posts.join(fed_n, "po_id", "left").join(viewers, "po_id", "left")
+            .withColumns({"fed_users": fed_users, "viewers": n_viewers})
+            .withColumns({"ctr": F.try_divide("fed_users", "viewers"),
+                          "view_through_rate": F.try_divide("viewers", "fed_users")}))

@@ -62,13 +62,17 @@ def recent_titles_by_user(interactions: DataFrame, post_text: DataFrame,
     NULL times (appended negatives) sort last; ties break on post id, and
     rows tied on both carry the same title.  ``row_number() <= k`` lets
     Spark insert a partial per-user limit before the shuffle, so a user
-    with a third of all rows ships at most k rows per task.
+    with a third of all rows ships at most k rows per task.  Only the rows
+    kept are joined to the titles; before, a semi join on the ids drops
+    interactions with unknown posts.
     """
-    titled = (interactions.select("user_id", "post_id", "interaction_time")
-              .join(post_text.select(F.col("po_id").alias("post_id"), "title"), "post_id"))
+    titles = post_text.select(F.col("po_id").alias("post_id"), "title")
+    known = interactions.select("user_id", "post_id", "interaction_time").join(
+        titles.select("post_id"), "post_id", "left_semi")
     w = Window.partitionBy("user_id").orderBy(F.col("interaction_time").desc_nulls_last(),
                                               F.col("post_id").asc())
-    top = titled.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= k)
+    top = (known.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= k)
+           .join(titles, "post_id"))
     return (top.groupBy(F.col("user_id").alias("uid"))
             .agg(F.sort_array(F.collect_list(F.struct("rn", "title"))).alias("_t"))
             .select("uid", ordered_values(F.col("_t"), "title").alias("recent_titles")))

@@ -9,6 +9,7 @@ hash partitioning.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +24,10 @@ from ..operators import clean, collabs, encode, geo, interactions as I, posts, s
 class Inputs:
     """The five recommender tables (lazy frames)."""
     users: DataFrame
-    post_text: DataFrame
+    post_keys: DataFrame    # (po_id)
+    post_bodies: DataFrame  # (po_id, description)
+    post_titles: DataFrame  # (po_id, title)
+    post_text: DataFrame    # (po_id, title, description)
     comments: DataFrame
     collabs: DataFrame
     interactions: DataFrame
@@ -33,7 +37,8 @@ class Inputs:
 
     @classmethod
     def load(cls, spark: SparkSession, sf_dir: str) -> "Inputs":
-        return cls(D.users(spark, sf_dir), D.post_text(spark, sf_dir),
+        return cls(D.users(spark, sf_dir), D.post_keys(spark, sf_dir), D.post_bodies(spark, sf_dir),
+                   D.post_titles(spark, sf_dir), D.post_text(spark, sf_dir),
                    D.comments(spark, sf_dir), D.collabs(spark, sf_dir),
                    D.interactions(spark, sf_dir), D.user_profile(spark, sf_dir),
                    D.user_bio(spark, sf_dir), D.user_login_times(spark, sf_dir))
@@ -51,7 +56,7 @@ def user_table(x: Inputs, iwn: DataFrame | None = None) -> DataFrame:
             .join(U.interaction_counts_by_user(x.interactions), "uid", "left")
             .na.fill(0, subset=list(U.COUNTED_TYPES))
             .join(collabs.project_titles_by_user(x.collabs), "uid", "left")
-            .join(U.recent_titles_by_user(iwn, x.post_text), "uid", "left"))
+            .join(U.recent_titles_by_user(iwn, x.post_titles), "uid", "left"))
 
 
 def user_numeric(x: Inputs) -> DataFrame:
@@ -64,11 +69,15 @@ def user_numeric(x: Inputs) -> DataFrame:
 
 def post_table(x: Inputs) -> DataFrame:
     """Posts with comments, counts, mean view time and CTR."""
-    feats = posts.post_features(x.post_text, x.interactions, x.comments)
-    ctr = posts.post_ctr(x.post_text, I.fed_posts(x.profile), x.interactions)
-    com = posts.post_comments(x.post_text, x.comments)
-    return (x.post_text.join(com, "po_id", "left").join(feats, "po_id", "left")
-            .join(ctr.select("po_id", "ctr"), "po_id", "left"))
+    return x.post_text.join(posts.comments_by_post(x.comments), "po_id", "left").join(
+        post_numeric(x), "po_id", "left")
+
+
+def post_numeric(x: Inputs) -> DataFrame:
+    """(po_id, the ranking model's post scalars), without any post's
+    comments or titles; documents are read once."""
+    return posts.with_ctr(posts.post_features(x.post_bodies, x.interactions, x.comments),
+                          I.fed_posts(x.profile), x.interactions)
 
 
 def scaled_user_features(users: DataFrame) -> DataFrame:
@@ -93,32 +102,47 @@ def location_features(users: DataFrame) -> DataFrame:
 def user_texts(x: Inputs, iwn: DataFrame | None = None) -> DataFrame:
     """``(uid, _col, text)`` for the four user text columns, each taken from
     its own source: no wide join carries long texts through a shuffle.
+    Project titles are the leading ones that fill the encoded length.
     Every user has a ``passions`` row, so every uid is present."""
     iwn = iwn if iwn is not None else interactions_with_negatives(x)
     joined = lambda c: F.array_join(F.col(c), " ")
     return (x.profile.select("uid", F.lit("passions").alias("_col"),
                              F.coalesce(joined("passions"), F.lit("")).alias("text"))
             .unionByName(x.bio.select("uid", F.lit("bio").alias("_col"), F.col("bio").alias("text")))
-            .unionByName(collabs.project_titles_by_user(x.collabs)
+            .unionByName(collabs.leading_titles(x.collabs, encode.USER_TEXT_LENGTHS["project_titles"] - 2)
                          .select("uid", F.lit("project_titles").alias("_col"), joined("project_titles").alias("text")))
-            .unionByName(U.recent_titles_by_user(iwn, x.post_text)
+            .unionByName(U.recent_titles_by_user(iwn, x.post_titles)
                          .select("uid", F.lit("recent_titles").alias("_col"), joined("recent_titles").alias("text"))))
 
 
 def post_texts(x: Inputs) -> DataFrame:
-    """``(po_id, _col, text)`` for title, description and comments."""
-    p = x.post_text
-    com = posts.post_comments(p, x.comments).filter(F.col("comments").isNotNull())
-    return (encode.to_long(p, "po_id", ["title", "description"])
+    """``(po_id, _col, text)`` for title, description and comments, of which
+    the leading ones that fill the encoded length."""
+    com = posts.leading_comments(x.comments, encode.POST_TEXT_LENGTHS["comments"] - 2) \
+        .join(x.post_keys, "po_id", "left_semi")
+    return (x.post_bodies.select("po_id", F.lit("description").alias("_col"), F.col("description").alias("text"))
+            .unionByName(x.post_titles.select("po_id", F.lit("title").alias("_col"), F.col("title").alias("text")))
             .unionByName(com.select("po_id", F.lit("comments").alias("_col"),
                                     F.array_join("comments", " ").alias("text"))))
 
 
-def vocabulary(x: Inputs, iwn: DataFrame | None = None, size: int = encode.VOCAB_SIZE) -> DataFrame:
+def vocabulary(x: Inputs, iwn: DataFrame | None = None) -> DataFrame:
     """The corpus vocabulary over all seven text columns (empty texts add
-    no tokens, so only present texts are read)."""
-    texts = user_texts(x, iwn).select("text").unionByName(post_texts(x).select("text"))
-    return encode.build_vocabulary(texts, size)
+    no tokens, so only present texts are read).  Comments and project
+    titles are counted row by row, never gathered per post or user."""
+    iwn = iwn if iwn is not None else interactions_with_negatives(x)
+    keys = x.profile.select("uid")
+    texts = [
+        x.profile.select(F.array_join("passions", " ").alias("text")),
+        x.bio.select(F.col("bio").alias("text")),
+        collabs.member_titles(x.collabs).join(keys, "uid", "left_semi").select(F.col("title").alias("text")),
+        U.recent_titles_by_user(iwn, x.post_titles).join(keys, "uid", "left_semi")
+        .select(F.array_join("recent_titles", " ").alias("text")),
+        x.post_titles.select(F.col("title").alias("text")),
+        x.post_bodies.select(F.col("description").alias("text")),
+        x.comments.join(x.post_keys, "po_id", "left_semi").select(F.col("content").alias("text")),
+    ]
+    return encode.build_vocabulary(reduce(DataFrame.unionByName, texts))
 
 
 def encoded_users(x: Inputs, vocab: DataFrame, iwn: DataFrame | None = None) -> DataFrame:
@@ -133,13 +157,12 @@ def encoded_posts(x: Inputs, vocab: DataFrame) -> DataFrame:
                       encode.POST_TEXT_LENGTHS)
 
 
-def encoded_tables(x: Inputs, iwn: DataFrame | None = None,
-                   vocab_size: int = encode.VOCAB_SIZE) -> tuple[DataFrame, DataFrame, DataFrame]:
+def encoded_tables(x: Inputs, iwn: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(vocabulary, users with padded id arrays, posts with padded id arrays).
     The vocabulary is materialised once and shared by both sides."""
     iwn = iwn if iwn is not None else interactions_with_negatives(x)
     ensure_checkpoint_dir(x.users.sparkSession)
-    vocab = vocabulary(x, iwn, vocab_size).checkpoint(eager=True)
+    vocab = vocabulary(x, iwn).checkpoint(eager=True)
     return vocab, encoded_users(x, vocab, iwn), encoded_posts(x, vocab)
 
 

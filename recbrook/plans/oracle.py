@@ -48,7 +48,11 @@ FROM events WHERE event_type <> 'signup'""")
 cte("comments", [], "SELECT conv_id AS po_id, turn, text AS content FROM conversations")
 
 cte("post_text", [], """
-SELECT doc_id AS po_id, substring(text, 1, 60) AS title, text AS description FROM documents""")
+SELECT doc_id AS po_id, title, text AS description FROM documents LEFT JOIN (
+  SELECT page_id, replace(replace(replace(replace(replace(
+           regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1),
+           '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&amp;', '&') AS title
+  FROM pages) ON page_id = doc_id""")
 
 cte("posts", ["interactions", "post_text"], """
 SELECT p.po_id, p.title, p.description, g.upvotes, g.downvotes, g.votes, g."views", g.view_lengths
@@ -88,7 +92,7 @@ LEFT JOIN (SELECT user_id, list_sort(list(ts)) AS login_times FROM events
 
 cte("vectors", [], """
 SELECT CASE WHEN vec_id % 2 = 0 THEN 'user' ELSE 'post' END AS side, vec_id // 2 AS id,
-       embedding[1:32] AS embedding, label FROM embeddings""")
+       embedding, label FROM embeddings""")
 
 # ---- derived frames ------------------------------------------------------------
 cte("weighted", ["interactions"], """
@@ -213,7 +217,7 @@ SELECT uid, coalesce(array_to_string(passions, ' '), '') AS passions,
 FROM user_table""")
 
 cte("clean_posts", ["post_table"], """
-SELECT po_id, title, description, coalesce(array_to_string(comments, ' '), '') AS comments
+SELECT po_id, coalesce(title, '') AS title, description, coalesce(array_to_string(comments, ' '), '') AS comments
 FROM post_table""")
 
 cte("points", ["users"], """
@@ -243,8 +247,17 @@ def tok(expr: str) -> str:
             f"lambda t: t <> '')")
 
 
-def enc(col: str, n: int) -> str:
-    return f"[2] || list_transform(({tok(col)})[1:{n - 2}], lambda t: coalesce(vm.m[t], 1)) || [3]"
+def enc_sql(src: str, key: str, lengths: dict[str, int]) -> str:
+    """Marks and token ids per text column: tokens looked up by a join."""
+    cols, joins = [], []
+    for c, n in lengths.items():
+        cols.append(f"[CAST(2 AS BIGINT)] || coalesce(e_{c}.ids, []) || [CAST(3 AS BIGINT)] AS {c}")
+        joins.append(
+            f"LEFT JOIN (SELECT {key}, list(coalesce(token_id, 1) ORDER BY pos) AS ids FROM ("
+            f"SELECT {key}, unnest(toks) AS token, unnest(range(len(toks))) AS pos FROM ("
+            f"SELECT {key}, ({tok(c)})[1:{n - 2}] AS toks FROM {src})) LEFT JOIN vocab USING (token) "
+            f"GROUP BY {key}) e_{c} USING ({key})")
+    return f"SELECT {key}, {', '.join(cols)} FROM {src} {' '.join(joins)}"
 
 
 cte("corpus", ["clean_users", "clean_posts"], "\nUNION ALL\n".join(
@@ -252,20 +265,12 @@ cte("corpus", ["clean_users", "clean_posts"], "\nUNION ALL\n".join(
     + [f"SELECT {c} AS text FROM clean_posts" for c in POST_TEXT]))
 
 cte("vocab", ["corpus"], f"""
-SELECT token, CAST(row_number() OVER (ORDER BY n DESC, token) + 3 AS INTEGER) AS token_id, n FROM (
+SELECT token, row_number() OVER (ORDER BY n DESC, token) + 3 AS token_id, n FROM (
   SELECT token, count(*) AS n FROM (SELECT unnest({tok('text')}) AS token FROM corpus)
-  GROUP BY token ORDER BY n DESC, token LIMIT 10000)""")
+  GROUP BY token)""")
 
-cte("vmap", ["vocab"], """
-SELECT MAP(list(token ORDER BY token_id), list(token_id ORDER BY token_id)) AS m FROM vocab""")
-
-cte("enc_users", ["clean_users", "vmap"],
-    "SELECT uid, " + ", ".join(f"{enc(c, n)} AS {c}" for c, n in USER_TEXT.items())
-    + " FROM clean_users, vmap vm")
-
-cte("enc_posts", ["clean_posts", "vmap"],
-    "SELECT po_id, " + ", ".join(f"{enc(c, n)} AS {c}" for c, n in POST_TEXT.items())
-    + " FROM clean_posts, vmap vm")
+cte("enc_users", ["clean_users", "vocab"], enc_sql("clean_users", "uid", USER_TEXT))
+cte("enc_posts", ["clean_posts", "vocab"], enc_sql("clean_posts", "po_id", POST_TEXT))
 
 
 def widths_sql(src: str, lengths: dict[str, int]) -> str:
@@ -295,26 +300,20 @@ def sql_dot(a: str, b: str) -> str:
     return sql_fold_sum(f"list_transform(range(1, len({a}) + 1), lambda i: {a}[i]::DOUBLE * {b}[i]::DOUBLE)")
 
 
-def sql_unit(e: str) -> str:
-    nrm = f"sqrt({sql_dot(e, e)})"
-    return f"list_transform({e}, lambda x: CASE WHEN {nrm} > 0 THEN x::DOUBLE / {nrm} ELSE 0.0 END)"
-
-
 cte("uvec", ["vectors"], "SELECT id, embedding, label FROM vectors WHERE side = 'user'")
 cte("pvec", ["vectors"], "SELECT id, embedding, label FROM vectors WHERE side = 'post'")
-cte("unit_users", ["uvec"], f"SELECT id AS user_id, {sql_unit('embedding')} AS u, label FROM uvec")
-cte("unit_posts", ["pvec"], f"SELECT id AS post_id, {sql_unit('embedding')} AS p, label FROM pvec")
 
-cte("scored", ["iwn", "unit_users", "unit_posts"], f"""
+cte("scored", ["iwn", "uvec", "pvec"], f"""
 SELECT i.user_id, i.post_id, i.interaction_type, i.weight, CAST(i.weight > 0 AS INTEGER) AS label,
-       {sql_dot('u.u', 'p.p')} AS score
-FROM iwn i JOIN unit_users u ON u.user_id = i.user_id JOIN unit_posts p ON p.post_id = i.post_id""")
+       {sql_dot('u.embedding', 'p.embedding')} AS score
+FROM iwn i JOIN uvec u ON u.id = i.user_id JOIN pvec p ON p.id = i.post_id""")
 
-cte("topk", ["unit_users", "unit_posts"], f"""
+cte("topk", ["uvec", "pvec"], f"""
 SELECT user_id, CAST(rank AS INTEGER) AS rank, post_id, score FROM (
   SELECT user_id, post_id, score,
          row_number() OVER (PARTITION BY user_id ORDER BY score DESC, post_id) AS rank
-  FROM (SELECT u.user_id, p.post_id, {sql_dot('u.u', 'p.p')} AS score FROM unit_users u, unit_posts p))
+  FROM (SELECT u.id AS user_id, p.id AS post_id, {sql_dot('u.embedding', 'p.embedding')} AS score
+        FROM uvec u, pvec p))
 WHERE rank <= 10""")
 
 cte("scaled_lf", ["login_frequency"], scale_sql("login_frequency", "uid", ["login_frequency"]))

@@ -60,9 +60,11 @@ def scan_collabs(spark, d):
     return D.collabs(spark, d)
 
 
-@query("scan_users", with_ctes("SELECT * FROM users", "users"))
+@query("scan_users", with_ctes(
+    "SELECT * REPLACE (CAST(login_times AS VARCHAR[]) AS login_times) FROM users", "users"))
 def scan_users(spark, d):
-    return D.users(spark, d)
+    """Login times as text, which both engines read back alike."""
+    return D.users(spark, d).withColumn("login_times", F.col("login_times").cast("array<string>"))
 
 
 @query("read_embeddings", with_ctes("SELECT * FROM vectors", "vectors"))
@@ -121,11 +123,11 @@ def user_project_titles(spark, d):
 # ---- posts -------------------------------------------------------------------
 @query("post_comments", with_ctes("SELECT * FROM post_comments", "post_comments"))
 def post_comments(spark, d):
-    return P.post_comments(D.post_text(spark, d), D.comments(spark, d))
+    return P.post_comments(D.post_keys(spark, d), D.comments(spark, d))
 
 
 def _post_features(spark, d):
-    return P.post_features(D.post_text(spark, d), D.interactions(spark, d), D.comments(spark, d))
+    return P.post_features(D.post_bodies(spark, d), D.interactions(spark, d), D.comments(spark, d))
 
 
 @query("post_counts", with_ctes(
@@ -146,7 +148,7 @@ def post_avg_time_viewed(spark, d):
     "SELECT po_id, fed_users, viewers, round(ctr, 6) AS ctr, "
     "round(view_through_rate, 6) AS view_through_rate FROM post_ctr", "post_ctr"))
 def post_ctr(spark, d):
-    out = P.post_ctr(D.post_text(spark, d), I.fed_posts(D.user_profile(spark, d)),
+    out = P.post_ctr(D.post_keys(spark, d), I.fed_posts(D.user_profile(spark, d)),
                      D.interactions(spark, d))
     return out.withColumn("ctr", r6(F.col("ctr"))).withColumn(
         "view_through_rate", r6(F.col("view_through_rate")))
@@ -174,7 +176,7 @@ def user_login_frequency(spark, d):
 @query("user_recent_titles", with_ctes("SELECT * FROM recent_titles", "recent_titles"))
 def user_recent_titles(spark, d):
     iwn = I.interactions_with_negatives(D.interactions(spark, d), D.user_profile(spark, d))
-    return U.user_recent_titles(D.user_keys(spark, d), iwn, D.post_text(spark, d))
+    return U.user_recent_titles(D.user_keys(spark, d), iwn, D.post_titles(spark, d))
 
 
 # ---- feature tables ------------------------------------------------------------
@@ -203,7 +205,7 @@ def user_features(spark, d):
     "round(avg_time_viewed, 6) AS avg_time_viewed, round(ctr, 6) AS ctr FROM post_table",
     "post_table"))
 def post_features(spark, d):
-    pt = FT.post_table(_inputs(spark, d))
+    pt = FT.post_numeric(_inputs(spark, d))
     return pt.select("po_id", *POST_DENSE_COLS).withColumns(
         {"avg_time_viewed": r6(F.col("avg_time_viewed")), "ctr": r6(F.col("ctr"))})
 
@@ -238,7 +240,7 @@ def clean_posts(spark, d):
 # ---- scaling -----------------------------------------------------------------
 @query("scale_posts", with_ctes(scale_sql("post_table", "po_id", POST_DENSE_COLS, 6), "post_table"))
 def scale_posts(spark, d):
-    sc = FT.scaled_post_features(FT.post_table(_inputs(spark, d)))
+    sc = FT.scaled_post_features(FT.post_numeric(_inputs(spark, d)))
     return sc.select("po_id", *[r6(F.col(c)).alias(c) for c in POST_DENSE_COLS])
 
 
@@ -284,7 +286,7 @@ def vocabulary(spark, d):
 
 def _post_title_ids(spark, d):
     x = _inputs(spark, d)
-    return E.encode(x.post_text.select("po_id", "title"), "po_id", {"title": 10}, FT.vocabulary(x))
+    return E.encode(x.post_titles, "po_id", {"title": 10}, FT.vocabulary(x))
 
 
 @query("encode_title", with_ctes("SELECT po_id, title FROM enc_posts", "enc_posts"))
@@ -382,14 +384,14 @@ def auc(spark, d):
 @query("mean_pool", with_ctes(
     "SELECT user_id, list(v ORDER BY j) AS pooled FROM ("
     "SELECT user_id, j, round(avg(e), 6) AS v FROM ("
-    "SELECT i.user_id, unnest(p.embedding)::DOUBLE AS e, unnest(range(1, 33)) AS j "
+    "SELECT i.user_id, unnest(p.embedding)::DOUBLE AS e, unnest(range(len(p.embedding))) AS j "
     "FROM weighted i JOIN pvec p ON p.id = i.post_id WHERE i.weight > 0) GROUP BY user_id, j) "
     "GROUP BY user_id", "weighted", "pvec"))
 def mean_pool(spark, d):
     pv = _vecs(spark, d)[1]
     hist = (I.interaction_weight(D.interactions(spark, d)).filter(F.col("weight") > 0)
             .join(pv.select(F.col("id").alias("post_id"), "embedding"), "post_id"))
-    return X.mean_pool(hist, "user_id", "embedding", 32).withColumn("pooled", round_all(F.col("pooled")))
+    return X.mean_pool(hist, "user_id", "embedding").withColumn("pooled", round_all(F.col("pooled")))
 
 
 def _user_dense(spark, d):
@@ -397,7 +399,7 @@ def _user_dense(spark, d):
 
 
 def _post_dense(spark, d):
-    return FT.dense_post_vector(FT.post_table(_inputs(spark, d)))
+    return FT.dense_post_vector(FT.post_numeric(_inputs(spark, d)))
 
 
 @query("user_dense_vector", with_ctes("SELECT * FROM user_dense", "user_dense"))
@@ -431,7 +433,7 @@ def _examples(spark, d):
     uv, pv = _vecs(spark, d)
     iwn = FT.interactions_with_negatives(x)
     return X.training_examples(iwn, FT.dense_user_vector(FT.user_numeric(x)),
-                               FT.dense_post_vector(FT.post_table(x)),
+                               FT.dense_post_vector(FT.post_numeric(x)),
                                uv.drop("label"), pv.drop("label"))
 
 
@@ -615,6 +617,6 @@ def read_user_features(spark, d):
     "SELECT po_id, " + ", ".join(f"CAST(round({c}, 6) AS FLOAT) AS {c}" for c in POST_DENSE_COLS)
     + " FROM scaled_posts", "scaled_posts"))
 def read_post_features(spark, d):
-    pt = FT.scaled_post_features(FT.post_table(_inputs(spark, d)))
+    pt = FT.scaled_post_features(FT.post_numeric(_inputs(spark, d)))
     out = pt.select("po_id", *[r6(F.col(c)).alias(c) for c in POST_DENSE_COLS])
     return IO.read_post_features(spark, _feature_file(spark, d, "posts", out))

@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from .tables import read_table
 
 # Fixed values of the derivation rules.
+TITLE_ELEMENT = r"(?is)<title[^>]*>(.*?)</title>"
+TITLE_REFERENCES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
 INTERACTION_TYPE_OF_EVENT = {"view": "view", "purchase": "upvote", "click": "comment"}
-EMBEDDING_WIDTH = 32  # both towers are 32 wide
 
 
 def interaction_type_of(event_type: Column, event_id: Column) -> Column:
@@ -52,13 +53,37 @@ def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("conv_id").alias("po_id"), "turn", F.col("text").alias("content"))
 
 
-def post_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The scalar columns of posts: id, title, description."""
+def page_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(po_id, title): the whole ``<title>`` of the post's page, empty where
+    the page has none."""
+    title = F.regexp_extract("html", TITLE_ELEMENT, 1)
+    for ref, char in TITLE_REFERENCES:
+        title = F.replace(title, F.lit(ref), F.lit(char))
+    return read_table(spark, sf_dir, "pages").select(F.col("page_id").alias("po_id"), title.alias("title"))
+
+
+def post_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``po_id`` of every post, without its texts."""
+    return read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("po_id"))
+
+
+def post_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(po_id, description)."""
     return read_table(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("po_id"),
-        F.substring("text", 1, 60).alias("title"),
-        F.col("text").alias("description"),
-    )
+        F.col("doc_id").alias("po_id"), F.col("text").alias("description"))
+
+
+def post_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(po_id, title) of every post, NULL for a post without a page; reads
+    no post bodies."""
+    return post_keys(spark, sf_dir).join(page_titles(spark, sf_dir).hint("merge"), "po_id", "left")
+
+
+def post_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scalar columns of posts: id, title, description.  Both sides
+    carry long texts, so the join is never a broadcast."""
+    return (post_bodies(spark, sf_dir).join(page_titles(spark, sf_dir).hint("merge"), "po_id", "left")
+            .select("po_id", "title", "description"))
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,7 +195,7 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(
         F.when(even, F.lit("user")).otherwise(F.lit("post")).alias("side"),
         F.expr("vec_id div 2").alias("id"),
-        F.slice("embedding", 1, EMBEDDING_WIDTH).alias("embedding"),
+        "embedding",
         "label",
     )
 

@@ -32,7 +32,7 @@ def test_ranker_beats_constant_and_recommend_shape(spark):
     assert a is None or 0.0 <= a <= 1.0
     path = io.save_model(m, os.path.join(tempfile.mkdtemp(), "wide"))
     from pyspark.ml.classification import LogisticRegressionModel
-    assert io.load_model(LogisticRegressionModel, path).numFeatures == models.RANK_INPUT
+    assert io.load_model(LogisticRegressionModel, path).numFeatures == len(ex.first().features)
     rec = recommend(spark, SF_SMALL, k=3, n_candidates=6)
     per_user = rec.groupBy("user_id").count().agg(F.max("count")).first()[0]
     assert per_user == 3

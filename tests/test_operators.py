@@ -280,12 +280,3 @@ def test_scale_conf_sizes_partitions():
     conf = scale_conf(100 * 2 ** 40, total_cores=8000)
     assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 2 ** 40 // (128 << 20)
     assert int(scale_conf(10 << 20, total_cores=8)["spark.sql.shuffle.partitions"]) == 16
-
-
-def test_spread_small_scan_is_noop_when_split(spark):
-    from recbrook.sources.tables import spread_small_scan
-    cores = spark.sparkContext.defaultParallelism
-    many = spark.range(0, 1000, numPartitions=cores)
-    assert spread_small_scan(many) is many
-    one = spark.range(0, 10, numPartitions=1)
-    assert spread_small_scan(one).rdd.getNumPartitions() == cores
