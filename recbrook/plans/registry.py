@@ -572,23 +572,28 @@ def stream_counts(spark, d):
     return SJ.stream_counts(spark, d, "events.parquet")
 
 
-@query("stream_refresh", with_ctes(
-    "SELECT uid, viewed_posts, upvoted_posts, commented_posts FROM (SELECT user_id AS uid, "
-    "count(post_id) FILTER (WHERE interaction_type = 'view') AS viewed_posts, "
-    "count(post_id) FILTER (WHERE interaction_type = 'upvote') AS upvoted_posts, "
-    "count(post_id) FILTER (WHERE interaction_type = 'comment') AS commented_posts "
-    "FROM interactions WHERE interaction_type IN ('view', 'upvote', 'comment') GROUP BY user_id)",
-    "interactions"))
+@query("stream_refresh", with_ctes("SELECT * FROM user_counts", "user_counts"))
 def stream_refresh(spark, d):
-    return SJ.stream_refresh(spark, d, "events.parquet")
+    """The refreshed counts of every user; 0 for users without events."""
+    return D.user_keys(spark, d).join(SJ.stream_refresh(spark, d, "events.parquet"), "uid", "left") \
+        .na.fill(0, subset=list(U.COUNTED_TYPES))
 
 
-@query("stream_messages", "SELECT * FROM events")
+@query("stream_messages",
+       "SELECT CASE WHEN event_id % 97 = 0 THEN '{\"event_id\":' || event_id END AS malformed, "
+       + ", ".join(f"CASE WHEN event_id % 97 <> 0 THEN {c} END AS {c}"
+                   for c in ("event_id", "ts", "user_id", "event_type", "value", "props")) + " FROM events")
 def stream_messages(spark, d):
+    """Every event as a JSON message, each 97th cut short on its way; good
+    rows and, aside, the malformed messages."""
     import uuid
     msg_dir = scratch_path(spark, f"messages-{uuid.uuid4().hex}")
-    to_messages(read_table(spark, d, "events")).write.text(msg_dir)
-    return SJ.stream_messages(spark, msg_dir)[0]
+    events = read_table(spark, d, "events")
+    cut = F.col("event_id") % 97 == 0
+    to_messages(events.filter(~cut)).unionByName(events.filter(cut).select(
+        F.concat(F.lit('{"event_id":'), F.col("event_id").cast("string")).alias("value"))).write.text(msg_dir)
+    good, bad = SJ.stream_messages(spark, msg_dir)
+    return good.unionByName(bad, allowMissingColumns=True)
 
 
 # ---- feature files: written by the transformation step, read as float32 -----------

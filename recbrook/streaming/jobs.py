@@ -1,12 +1,17 @@
 """Streaming jobs: running interaction counts and refresh-on-arrival.
 
-Exactly-once without stream state and without dropping late events: each
-micro-batch appends its events (de-duplicated within the batch) under its
-batch id, so a replayed batch overwrites its own output; readers
-de-duplicate on ``event_id`` across batches (a shuffle on event_id) and
-then aggregate.  A replayed event is counted once however late it comes,
-and a late original is still counted.  Checkpoints and outputs go under
-the session's shared checkpoint folder.
+State is three tables under one folder, each with a part per micro-batch:
+
+- ``events``: the ids of the events first seen in the batch;
+- ``counts``: how much each (user, type) of those events grew;
+- ``users``: the refreshed counts of the users the batch touched.
+
+A batch reads only earlier parts and overwrites its own, so a replayed batch
+changes nothing; an event counts once however late it or its repeat comes (a
+watermark would drop late events).  History is not recounted: a batch
+compares its event ids with those seen, and totals are sums of ``counts``.
+The folder and the stream's checkpoint are kept, so a later call goes on where
+the last one ended.
 """
 
 from __future__ import annotations
@@ -21,7 +26,7 @@ from pyspark.sql import functions as F
 from ..schemas import BASE
 from ..session import scratch_path
 from ..sources.derived import interactions_from_events
-from ..operators.users import interaction_counts_by_user
+from ..operators.users import COUNTED_TYPES
 
 EVENT_COLS = ["event_id", "user_id", "post_id", "interaction_type"]
 
@@ -32,64 +37,96 @@ def event_stream(spark: SparkSession, source_dir: str, file_glob: str = "events*
             .parquet(source_dir))
 
 
-def batch_events(batch: DataFrame) -> DataFrame:
-    """One micro-batch's interaction events, each event id once."""
-    return batch.select(*EVENT_COLS).dropDuplicates(["event_id"])
-
-
-def distinct_events(out_dir: str) -> DataFrame:
-    """All events written so far, each event id once."""
-    spark = SparkSession.getActiveSession()
-    return spark.read.parquet(out_dir).select(*EVENT_COLS).dropDuplicates(["event_id"])
-
-
-def run_per_batch(stream: DataFrame, per_batch: Callable[[DataFrame], DataFrame], out_dir: str,
-                  checkpoint: str) -> None:
+def run_per_batch(stream: DataFrame, per_batch: Callable[[DataFrame, int], None], checkpoint: str) -> None:
     """Run ``per_batch`` on each micro-batch until the available input is
-    consumed, writing ``out_dir/batch_id=<n>`` (overwritten on replay)."""
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        per_batch(batch).write.mode("overwrite").parquet(os.path.join(out_dir, f"batch_id={batch_id}"))
-
-    q = (stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    consumed."""
+    q = (stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
 
 
-def _dirs(spark: SparkSession, name: str) -> tuple[str, str]:
-    run = f"{name}-{uuid.uuid4().hex}"
-    return scratch_path(spark, run + "/out"), scratch_path(spark, run + "/checkpoint")
+def _part(table: str, batch_id: int) -> str:
+    return os.path.join(table, f"batch_id={batch_id}")
+
+
+def _earlier(spark: SparkSession, table: str, batch_id: int) -> DataFrame:
+    return spark.read.parquet(table).filter(F.col("batch_id") < batch_id)
+
+
+def _tables(spark: SparkSession, state_dir: str) -> dict[str, str]:
+    """Paths of the state tables, each begun with an empty part."""
+    types = {"events": "event_id bigint", "counts": "user_id bigint, interaction_type string, posts bigint, n bigint",
+             "users": "uid bigint, " + ", ".join(f"{c} bigint" for c in COUNTED_TYPES)}
+    paths = {name: os.path.join(state_dir, name) for name in types}
+    for name, schema in types.items():
+        spark.createDataFrame([], schema).write.mode("ignore").parquet(_part(paths[name], -1))
+    return paths
+
+
+def carry_forward(events: DataFrame, batch_id: int, paths: dict[str, str]) -> None:
+    """One micro-batch: keep the events not seen before, add up their counts
+    and refresh the users they touch."""
+    spark = events.sparkSession
+    new_events = events.select(*EVENT_COLS).dropDuplicates(["event_id"]).join(
+        _earlier(spark, paths["events"], batch_id), "event_id", "left_anti").persist()
+    grown = new_events.groupBy("user_id", "interaction_type").agg(
+        F.count("post_id").alias("posts"), F.count(F.lit(1)).alias("n"))
+    grown.write.mode("overwrite").parquet(_part(paths["counts"], batch_id))
+    new_events.select("event_id").write.mode("overwrite").parquet(_part(paths["events"], batch_id))
+    new_events.unpersist()
+    totals = spark.read.parquet(paths["counts"]).filter(F.col("batch_id") <= batch_id)
+    touched = totals.filter(F.col("batch_id") == batch_id).select("user_id").distinct()
+    t = F.col("interaction_type")
+    refreshed = (totals.join(touched, "user_id", "left_semi").filter(t.isin(*COUNTED_TYPES.values()))
+                 .groupBy(F.col("user_id").alias("uid"))
+                 .agg(*[F.coalesce(F.sum(F.when(t == v, F.col("posts"))), F.lit(0)).alias(c)
+                        for c, v in COUNTED_TYPES.items()]))
+    refreshed.write.mode("overwrite").parquet(_part(paths["users"], batch_id))
+
+
+def _consume(spark: SparkSession, source_dir: str, file_glob: str, state_dir: str | None, name: str) -> dict[str, str]:
+    state_dir = state_dir or scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    paths = _tables(spark, state_dir)
+    run_per_batch(interactions_from_events(event_stream(spark, source_dir, file_glob)),
+                  lambda batch, batch_id: carry_forward(batch, batch_id, paths),
+                  os.path.join(state_dir, "checkpoint"))
+    return paths
 
 
-def stream_counts(spark: SparkSession, source_dir: str, file_glob: str = "events*.parquet") -> DataFrame:
-    """Running (user_id, interaction_type) counts over the event stream."""
-    out, ckpt = _dirs(spark, "stream-counts")
-    run_per_batch(interactions_from_events(event_stream(spark, source_dir, file_glob)),
-                  batch_events, out, ckpt)
-    return (distinct_events(out).groupBy("user_id", "interaction_type")
-            .agg(F.count(F.lit(1)).alias("n")))
+def stream_counts(spark: SparkSession, source_dir: str, file_glob: str = "events*.parquet",
+                  state_dir: str | None = None) -> DataFrame:
+    """Running (user_id, interaction_type) counts over the event stream.
+    ``state_dir`` holds the state between calls; None starts anew."""
+    paths = _consume(spark, source_dir, file_glob, state_dir, "stream-counts")
+    return (spark.read.parquet(paths["counts"]).groupBy("user_id", "interaction_type")
+            .agg(F.sum("n").alias("n")))
 
 
-def stream_refresh(spark: SparkSession, source_dir: str, file_glob: str = "events*.parquet") -> DataFrame:
-    """Refresh on arrival: every micro-batch lands its events, and the
-    per-user interaction counts are refreshed from all events so far."""
-    out, ckpt = _dirs(spark, "stream-refresh")
-    run_per_batch(interactions_from_events(event_stream(spark, source_dir, file_glob)),
-                  batch_events, out, ckpt)
-    return interaction_counts_by_user(distinct_events(out))
+def stream_refresh(spark: SparkSession, source_dir: str, file_glob: str = "events*.parquet",
+                   state_dir: str | None = None) -> DataFrame:
+    """Refresh on arrival: each micro-batch refreshes the counts of the users
+    it touches; returns every such user's last counts."""
+    paths = _consume(spark, source_dir, file_glob, state_dir, "stream-refresh")
+    last = F.max(F.struct("batch_id", *COUNTED_TYPES)).alias("last")
+    return spark.read.parquet(paths["users"]).groupBy("uid").agg(last).select(
+        "uid", *[F.col(f"last.{c}").alias(c) for c in COUNTED_TYPES])
 
 
-def stream_messages(spark: SparkSession, message_dir: str) -> tuple[DataFrame, DataFrame]:
+def stream_messages(spark: SparkSession, message_dir: str, state_dir: str | None = None
+                    ) -> tuple[DataFrame, DataFrame]:
     """Parse the JSON messages arriving under ``message_dir``: returns the
     (parsed, malformed) tables written by the stream."""
     from .intake import parse_messages, message_stream
-    out, ckpt = _dirs(spark, "stream-messages")
+    state_dir = state_dir or scratch_path(spark, f"stream-messages-{uuid.uuid4().hex}")
+    out = os.path.join(state_dir, "rows")
 
-    def split(batch: DataFrame) -> DataFrame:
+    def split(batch: DataFrame, batch_id: int) -> None:
         good, bad = parse_messages(batch)
-        return good.select(F.lit(None).cast("string").alias("malformed"), "*").unionByName(
-            bad.select(F.col("value").alias("malformed")), allowMissingColumns=True)
+        good.select(F.lit(None).cast("string").alias("malformed"), "*").unionByName(
+            bad.select(F.col("value").alias("malformed")), allowMissingColumns=True) \
+            .write.mode("overwrite").parquet(_part(out, batch_id))
 
-    run_per_batch(message_stream(spark, message_dir), split, out, ckpt)
+    run_per_batch(message_stream(spark, message_dir), split, os.path.join(state_dir, "checkpoint"))
     rows = spark.read.parquet(out).drop("batch_id")
     return (rows.filter(F.col("malformed").isNull()).drop("malformed"),
             rows.filter(F.col("malformed").isNotNull()).select("malformed"))

@@ -146,8 +146,8 @@ def test_encode_empty_unknown_truncated_padded(spark):
 
 def test_vocabulary_order(spark):
     texts = spark.createDataFrame([("b a, a; c",), ("B",)], "text string")
-    got = rows(encode.build_vocabulary(texts, size=2), "token_id", "token", "n")
-    assert got == [(4, "a", 2), (5, "b", 2)]
+    got = rows(encode.build_vocabulary(texts), "token_id", "token", "n")
+    assert got == [(4, "a", 2), (5, "b", 2), (6, "c", 1)]
 
 
 # ---- ordering and metrics --------------------------------------------------------------
@@ -199,23 +199,36 @@ def test_exact_topk_equals_brute_force(spark):
     posts_ = [(i, vec(centres[i % 4])) for i in range(300)]
     uv = spark.createDataFrame(users, "id long, embedding array<double>")
     pv = spark.createDataFrame(posts_, "id long, embedding array<double>")
-    got = rows(retrieve_topk(uv, pv, k=7, n_centers=5, block_size=16), "user_id", "rank", "post_id")
-
-    def unit(v):
-        n = math.sqrt(sum(x * x for x in v))
-        return [x / n for x in v]
+    got = rows(retrieve_topk(uv, pv, k=7, block_size=16), "user_id", "rank", "post_id")
     want = []
     for uid, u in users:
-        uu = unit(u)
-        sc = sorted(((-sum(a * b for a, b in zip(uu, unit(p))), pid) for pid, p in posts_))[:7]
+        sc = sorted(((-sum(a * b for a, b in zip(u, p)), pid) for pid, p in posts_))[:7]
         want += [(uid, r + 1, pid) for r, (_, pid) in enumerate(sc)]
     assert got == sorted(want)
 
 
+def test_topk_prunes_clustered_vectors(spark):
+    """On well-separated clusters of vectors of unequal norm, under a fifth of
+    all pairs is scored."""
+    from recbrook.operators.retrieval import candidate_clusters, second_pass
+    rnd = random.Random(9)
+    centres = [[rnd.gauss(0, 1) for _ in range(16)] for _ in range(25)]
+    def vec(i):
+        scale = rnd.uniform(0.9, 1.1)
+        return [scale * (x + rnd.gauss(0, 0.02)) for x in centres[i % 25]]
+    uv = spark.createDataFrame([(i, vec(i)) for i in range(100)], "id long, embedding array<double>")
+    pv = spark.createDataFrame([(i, vec(i)) for i in range(1000)], "id long, embedding array<double>")
+    bounds = candidate_clusters(uv, pv)[2]
+    top = retrieve_topk(uv, pv, k=5)
+    scored = (bounds.filter("before < 5").select("n").unionByName(second_pass(bounds, top, 5).select("n"))
+              .agg(F.sum("n")).first()[0])
+    assert scored < 0.2 * 100 * 1000
+
+
 def test_topk_fewer_posts_than_k(spark):
     uv = spark.createDataFrame([(1, [1.0, 0.0])], "id long, embedding array<double>")
     pv = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0])], "id long, embedding array<double>")
-    assert rows(retrieve_topk(uv, pv, k=5, n_centers=2), "rank", "post_id") == [(1, 1), (2, 2)]
+    assert rows(retrieve_topk(uv, pv, k=5), "rank", "post_id") == [(1, 1), (2, 2)]
 
 
 # ---- properties on the synthetic tables ------------------------------------------------------
@@ -262,6 +275,9 @@ def test_lsh_candidates_are_exact_pairs(spark):
     uv, pv = D.side_vectors(spark, d, "user"), D.side_vectors(spark, d, "post")
     lsh = retrieve_lsh(uv, pv, k=5)
     exact = retrieve_topk(uv, pv, k=10_000)
+    assert lsh.count() == 5 * uv.count()
+    best = exact.filter("rank <= 5").join(lsh, ["user_id", "post_id"], "left_semi").count()
+    assert best >= 0.9 * lsh.count()
     joined = lsh.join(exact.withColumnRenamed("score", "exact").drop("rank"), ["user_id", "post_id"])
     assert joined.count() == lsh.count() > 0
     assert joined.filter(F.abs(F.col("score") - F.col("exact")) > 1e-9).count() == 0
@@ -280,3 +296,26 @@ def test_scale_conf_sizes_partitions():
     conf = scale_conf(100 * 2 ** 40, total_cores=8000)
     assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 2 ** 40 // (128 << 20)
     assert int(scale_conf(10 << 20, total_cores=8)["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_als_takes_large_ids(spark):
+    from recbrook.operators.models import als_embeddings
+    big = 3_000_000_000
+    iwn = spark.createDataFrame([(big + u, big + p, 1.0) for u in range(4) for p in range(3) if (u + p) % 2],
+                                "user_id long, post_id long, weight double")
+    got = als_embeddings(iwn, rank=4, max_iter=2).collect()
+    assert {r.id for r in got if r.side == "user"} == {big + u for u in range(4)}
+    assert {r.id for r in got if r.side == "post"} == {big + p for p in range(3)}
+
+
+def test_leading_texts_hold_the_first_tokens(spark):
+    """Cutting to the rows that fill the encoded length gives the tokens that
+    joining all of them gives."""
+    from recbrook.operators.collabs import leading_titles
+    from recbrook.operators.posts import leading_comments
+    com = spark.createDataFrame([(1, t, "..." if t % 3 else f"w{t} x") for t in range(30)] + [(2, 0, None)],
+                                "po_id long, turn long, content string")
+    assert rows(leading_comments(com, 4), "po_id", "comments") == [(1, ["w0 x", "w3 x", "w6 x", "w9 x"])]
+    col = spark.createDataFrame([(i, 7, f"t{i}", [8]) for i in range(9)],
+                                "collab_id long, owner_uid long, title string, team_uids array<long>")
+    assert rows(leading_titles(col, 2), "uid", "project_titles") == [(7, ["t0", "t1"]), (8, ["t0", "t1"])]

@@ -54,3 +54,20 @@ def test_stream_counts_equal_batch(spark):
          .agg(F.count(F.lit(1)).alias("n")))
     key = lambda r: (r.user_id, r.interaction_type or "", r.n)
     assert sorted(map(key, s.collect())) == sorted(map(key, b.collect()))
+
+
+def test_second_call_goes_on_from_the_first(spark):
+    src, state = tempfile.mkdtemp(prefix="recbrook-stream-"), tempfile.mkdtemp(prefix="recbrook-state-")
+    a = [(1, T(2024, 1, 1), 7, "view", 1.0, '{"k": 3}'), (2, T(2024, 1, 1), 8, "click", 2.0, '{"k": 3}')]
+    b = [(2, T(2024, 1, 1), 8, "click", 2.0, '{"k": 3}'), (3, T(2023, 1, 1), 7, "view", 1.0, '{"k": 4}')]
+    _events(spark, a).coalesce(1).write.parquet(os.path.join(src, "a.parquet"))
+    one = jobs.stream_refresh(spark, src + "/*", "*.parquet", state_dir=state).collect()
+    assert sorted(map(tuple, one)) == [(7, 1, 0, 0), (8, 0, 0, 1)]
+    _events(spark, b).coalesce(1).write.parquet(os.path.join(src, "b.parquet"))
+    two = jobs.stream_refresh(spark, src + "/*", "*.parquet", state_dir=state).collect()
+    assert sorted(map(tuple, two)) == [(7, 2, 0, 0), (8, 0, 0, 1)]
+    # nothing new: same counts; the second batch refreshed only the user it touched
+    again = jobs.stream_counts(spark, src + "/*", "*.parquet", state_dir=state).collect()
+    assert sorted(map(tuple, again)) == [(7, "view", 2), (8, "comment", 1)]
+    users = spark.read.parquet(os.path.join(state, "users"))
+    assert [r.uid for r in users.filter("batch_id = 1").collect()] == [7]
