@@ -269,8 +269,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 
     ids = coded.select("doc_id", "key", "row").join(parts.withColumnRenamed("id", "key"), "key", "left") \
         .withColumn("part", F.coalesce("component", "key"))
-    best = ids.filter("part is not null").groupBy("part").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("best"))
+    # Written, so that both sides of the join below are plain shuffles, whose
+    # oversized partitions (a large group's) adaptive execution splits.
+    best = written(ids.filter("part is not null").groupBy("part").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("best")), "minhash-best")
     return (ids.join(best, "part", "left")
             .select("doc_id", "key", "row", F.coalesce("best.doc_id", "doc_id").alias("group_id"),
                     F.coalesce(F.col("best.row") == F.col("row"), F.lit(True)).alias("kept")))
