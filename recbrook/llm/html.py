@@ -47,8 +47,8 @@ MAIN_WORDS = {"article", "main", "content", "post", "entry", "story", "body"}
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|--!>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$)",
     re.S)
-_ATTR = re.compile(r"\b(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?(?:false|until))|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_ATTR = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>]+)))?")
+_UNSEEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\b", re.I)
 _WORD = re.compile(r"[^\W_]+")
 
 FEATURES = ["words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after",
@@ -64,6 +64,8 @@ LABELLED = [
     (25, 0.4, 60, 0.0, 44, 0.0, 2, 1), (5, 1.0, 80, 0.0, 71, 0.0, 2, 1), (2, 0.5, 33, 0.1, 50, 0.0, 2, 1),
     (300, 0.0, 1, 1.0, 8, 0.0, 2, 1), (7, 0.0, 30, 0.0, 9, 0.0, 2, 1), (18, 0.0, 0, 0.0, 0, 0.0, 2, 1),
     (4, 0.0, 1, 1.0, 0, 0.0, 2, 1), (1, 1.0, 1, 1.0, 1, 1.0, 2, 1), (12, 0.9, 14, 0.9, 10, 0.9, 2, 1),
+    # lists of links inside an article
+    (4, 1.0, 5, 1.0, 6, 1.0, 2, 0), (5, 1.0, 4, 1.0, 4, 1.0, 2, 0), (6, 1.0, 5, 1.0, 5, 1.0, 2, 0),
     # menus, headers, footers, adverts, notices, comments: long ones too
     (1, 1.0, 0, 0.0, 1, 1.0, 0, 0), (1, 1.0, 1, 1.0, 1, 1.0, 0, 0), (1, 1.0, 1, 1.0, 9, 0.0, 0, 0),
     (10, 0.0, 1, 1.0, 12, 0.0, 0, 0), (8, 0.0, 45, 0.0, 0, 0.0, 0, 0), (35, 0.0, 60, 0.0, 20, 0.0, 0, 0),
@@ -73,6 +75,8 @@ LABELLED = [
     (50, 0.0, 4, 0.0, 70, 0.0, 0, 0), (12, 0.0, 3, 1.0, 30, 0.0, 0, 0), (4, 0.0, 33, 0.0, 28, 0.1, 0, 0),
     (40, 0.2, 9, 0.0, 11, 0.0, 0, 0), (75, 0.0, 20, 0.0, 12, 0.0, 0, 0), (8, 0.0, 2, 1.0, 75, 0.0, 0, 0),
     (15, 0.3, 70, 0.0, 6, 1.0, 0, 0), (240, 0.0, 55, 0.0, 3, 0.0, 0, 0), (2, 0.0, 0, 0.0, 0, 0.0, 0, 0),
+    # long paragraphs among long ones, in an aside by its name only
+    (160, 0.0, 150, 0.0, 170, 0.0, 0, 1), (95, 0.02, 130, 0.0, 120, 0.0, 0, 1), (210, 0.0, 95, 0.0, 140, 0.05, 0, 1),
     # outside any marked region: long text without links, or short beside it
     (50, 0.0, 4, 0.0, 70, 0.0, 1, 1), (31, 0.1, 60, 0.0, 25, 0.0, 1, 1), (90, 0.05, 2, 1.0, 3, 1.0, 1, 1),
     (22, 0.0, 40, 0.0, 35, 0.0, 1, 1), (6, 0.0, 45, 0.0, 60, 0.0, 1, 1), (8, 0.0, 2, 1.0, 75, 0.0, 1, 1),
@@ -120,19 +124,54 @@ def classify(tree, x) -> int:
     return tree[1]
 
 
+def _attributes(attrs: str) -> dict[str, str]:
+    """Attribute values by lower-case name; of a repeated name the first counts."""
+    out: dict[str, str] = {}
+    for m in _ATTR.finditer(attrs):
+        out.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+    return out
+
+
+def _hidden(attrs: str) -> bool:
+    """Whether the element itself is not shown: by the attribute named hidden,
+    by aria-hidden, or by display or visibility in its style."""
+    if not re.search("hidden|none", attrs, re.I):
+        return False
+    a = _attributes(attrs)
+    return ("hidden" in a and not a["hidden"].strip().lower().startswith(("false", "until"))
+            or a.get("aria-hidden", "").strip().lower() == "true"
+            or _UNSEEN.search(_html.unescape(a.get("style", ""))) is not None)
+
+
 def _region(tag: str, attrs: str, inherited: int) -> int:
-    """An aside stays one, whatever is inside; a header inside an article that
-    is an element of sectioning counts as an aside like any other."""
-    if inherited == BOILER or tag in ASIDE_TAGS:
+    """The region of an element's text.  A name (of class, id, role, itemprop)
+    made of ``MAIN_WORDS`` alone marks the article whatever else the element is
+    called ("content with-sidebar"); inside an aside one needs the word main or
+    article, others only leave the text to its features.  A name with words
+    of both kinds ("entry-header") says nothing."""
+    if tag in ASIDE_TAGS:
         return BOILER
+    names = []
     if "=" in attrs:
-        words = {w.lower() for m in _ATTR.findall(attrs) for v in m if v
-                 for w in _WORD.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", v))}
-        if words & ASIDE_WORDS and tag not in ("html", "body", "article", "main"):
-            return BOILER
-        if words & MAIN_WORDS and tag not in INLINE and tag not in ("html", "body"):
-            return CONTENT
-    return CONTENT if tag in MAIN_TAGS else inherited
+        a = _attributes(attrs)
+        names = [{w.lower() for w in _WORD.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", n).replace("_", " "))}
+                 for k in ("class", "id", "role", "itemprop") for n in a.get(k, "").split()]
+    aside = any(n & ASIDE_WORDS and not n & MAIN_WORDS for n in names)
+    only_aside = any(n and all(w in ASIDE_WORDS or w.isdigit() for w in n) for n in names)
+    if tag in MAIN_TAGS:
+        return inherited if aside and inherited == BOILER else CONTENT
+    if tag in ("html", "body"):
+        return inherited
+    marks = [n for n in names if n and n <= MAIN_WORDS]
+    if marks and tag not in INLINE:
+        if only_aside:
+            return inherited
+        return CONTENT if inherited != BOILER or any(n & MAIN_TAGS for n in marks) else OUTSIDE
+    if aside:
+        return BOILER
+    if inherited != BOILER and tag not in INLINE and any(n & MAIN_WORDS and not n & ASIDE_WORDS for n in names):
+        return CONTENT
+    return inherited
 
 
 def blocks(page: str) -> list[tuple[str, int, int, int]]:
@@ -206,7 +245,7 @@ def blocks(page: str) -> list[tuple[str, int, int, int]]:
             elif tag == "hr":
                 end(stack[-1][1])
             continue
-        if tag in RAW or ("hidden" in attrs or "none" in attrs) and _HIDDEN.search(attrs) and tag not in ("html", "body"):
+        if tag in RAW or tag not in ("html", "body") and _hidden(attrs):
             if tag not in INLINE:
                 end(stack[-1][1])
             if not attrs.rstrip().endswith("/"):

@@ -328,6 +328,22 @@ def test_html(spark):
     assert rows(html.extract_main_text(df.drop("Text").filter("false"))) == []
 
 
+def test_html_names_are_no_shortcut():
+    tree = html.train_tree()
+    for attrs in ('style="overflow:hidden"', 'class="overflow-hidden"', 'title="The hidden cost"', "data-x='display: none'",
+                  'class="content with-sidebar"', 'class="post share-enabled"'):
+        page = f"<div {attrs}><article><p>The first paragraph of it.</p><p>And the second one.</p></article></div>"
+        assert html.main_text(page, tree) == "The first paragraph of it.\nAnd the second one.", attrs
+    assert html.main_text('<article><p>See <a href="/hidden-gems">the gems</a> of it.</p></article>', tree) == "See the gems of it."
+    assert html.main_text('<div class="page-sidebar-left"><article><p>Whole text here.</p></article></div>', tree) == "Whole text here."
+    assert html.main_text('<article><div class="entry-header"><h1>The title</h1></div><p>Text of it.</p></article>', tree) \
+        == "The title\nText of it."
+    for attrs in ("hidden", "hidden=''", 'style="color:red; display : none"', 'style="visibility:hidden"', 'aria-hidden="true"'):
+        assert html.main_text(f"<article><p>Seen.</p><p {attrs}>Not seen.</p></article>", tree) == "Seen.", attrs
+    assert html.main_text('<section id="comments"><article class="comment"><p>I like it.</p></article></section>', tree) == ""
+    assert {(r[6], r[7]) for r in html.LABELLED} == {(a, b) for a in (0, 1, 2) for b in (0, 1)}
+
+
 def test_pipeline(spark):
     import corpus_pipeline as p
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
