@@ -22,6 +22,8 @@ from pyspark.sql.window import Window
 
 BINS = 1 << 14
 ORDERS = 3
+#: A document whose best language is nearer to chance than this has none.
+MARGIN = 0.2
 
 
 def gram_bins(text: str) -> np.ndarray:
@@ -120,6 +122,13 @@ def learnable(id_col: str = "doc_id"):
     return F.coalesce(rest != 0, F.lit(False)), F.coalesce(rest == 0, F.lit(False))
 
 
+def least_score(model: Model) -> float:
+    """The score from which a prediction stands: chance among the model's
+    languages plus ``MARGIN`` of the rest (0.4 with four, 1 with one)."""
+    chance = 1 / len(model.names)
+    return chance + MARGIN * (1 - chance)
+
+
 def predict(docs: DataFrame, model: Model | None, text: str = "text", lang_out: str = "lang_pred",
             score_out: str = "score") -> DataFrame:
     """``docs`` with the predicted language and its score (0 to 1: softmax of

@@ -105,6 +105,21 @@ def test_language(spark, docs):
     assert {r["lang_pred"] for r in rows(language.predict(docs, language.fit(empty(docs), usable)))} == {"und"}
 
 
+def test_language_stage_acts_on_the_model(spark):
+    import corpus_pipeline as p
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    lettered = docs.filter(F.col("text").rlike(r"\p{L}"))
+    for unlabelled in (docs.withColumn("lang", F.lit(None).cast("string")), docs.filter(language.learnable()[1])):
+        after = p.language_id(spark, unlabelled, "")
+        assert after.columns == docs.columns
+        assert after.count() == unlabelled.filter(F.col("text").rlike(r"\p{L}")).count() > 0
+    odd = spark.createDataFrame([(10_000_000, "xkcd" * 30)], "doc_id long, text string")
+    got = p.language_id(spark, docs.unionByName(odd, allowMissingColumns=True), "")
+    assert got.count() == lettered.count() and got.filter("doc_id = 10000000").count() == 0
+    one = spark.createDataFrame([(i, f"some text {i}", "en") for i in range(20)], "doc_id long, text string, lang string")
+    assert p.language_id(spark, one, "").count() == 20
+
+
 def test_mixing(spark, docs):
     got = rows(mixing.mix(docs, copies=True))
     assert len(got) == docs.count()
