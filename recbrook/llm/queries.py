@@ -9,13 +9,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import neardup
+from . import neardup, wordlm
 from .embeddings import near_duplicates
 from .fingerprints import neighbour_fingerprints
 from .html import extract_main_text
 from .language import fit, learnable, predict
 from .lines import fuzzy_lines
-from .lm import corpus_counts, score
 from .mixing import mix, mix_sql
 from .packing import pack_documents
 from .tokens import count_tokens
@@ -73,14 +72,8 @@ def op5_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target: documents labelled of good quality.  Background: all documents."""
-    good = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id").distinct()
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    marked = good.withColumn("target", F.lit(True))
-    # A merge join at every size: labels grow with the documents.
-    counts = corpus_counts(docs.join(marked.hint("merge"), "doc_id", "left"), "text", "target")
-    return score(docs, counts).drop("text").join(marked.hint("merge"), "doc_id", "left") \
-        .select("doc_id", F.coalesce("target", F.lit(False)).alias("target"), "n_symbols", "target_loss",
-                "background_loss", "score")
+    good = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
+    return wordlm.score(table(spark, sf_dir, "documents").select("doc_id", "text"), good)
 
 
 @query

@@ -319,6 +319,41 @@ def test_lm_counts_and_losses(spark, docs):
     rows(lm.score(empty(docs), lm.corpus_counts(df.filter("false"), "text", "good")))
 
 
+def test_word_lm_matches_direct_counts(spark, docs, monkeypatch):
+    from collections import Counter
+    from recbrook.llm import wordlm
+    monkeypatch.setattr(wordlm, "BLOCK", 2000)  # several blocks and ranges
+    monkeypatch.setattr(wordlm, "RANGE", 20_000)
+    more = [(100 + i, t, None, None, None) for i, t in enumerate(
+        ["кот сидит дома", "кот спит дома", "дом стоит тут", "漢字の文", "字漢の文", "in 1999", "in 2024"])]
+    df = docs.unionByName(spark.createDataFrame(more, docs.schema))
+    good = spark.createDataFrame([(1,), (3,), (3,), (100,), (103,), (105,), (None,), (999,)], "doc_id long")
+    marks = {1, 3, 100, 103, 105}
+    texts = [(r["doc_id"], ["<s>", *wordlm.tokens(r["text"]), "</s>"]) for r in rows(df) if r["text"]]
+    loss = []
+    for of in ([w for i, w in texts if i in marks], [w for _, w in texts]):
+        c, ctx, pair = Counter(), Counter(), Counter()
+        for w in of:
+            c.update(w[1:])
+            ctx.update(w[:-1])
+            pair.update(zip(w, w[1:]))
+        size = len({x for _, w in texts for x in w[1:]})
+        p = lambda x, c=c, s=size: (c[x] + 1) / (sum(c.values()) + s + 1)
+        loss.append(lambda w, p=p, ctx=ctx, pair=pair: np.mean([-np.log(
+            (pair[h, x] + wordlm.PRIOR * p(x)) / (ctx[h] + wordlm.PRIOR)) for h, x in zip(w, w[1:])]))
+    got = rows(wordlm.score(df, good))
+    assert len(got) == df.count() and sorted(r["n_symbols"] for r in got if r["n_symbols"]) == sorted(len(w) - 1 for _, w in texts)
+    by = {(r["doc_id"], r["n_symbols"]): r for r in got}
+    for i, w in texts:
+        r = by[i, len(w) - 1]
+        assert r["target"] == (i in marks)
+        assert r["target_loss"] == pytest.approx(loss[0](w)) and r["background_loss"] == pytest.approx(loss[1](w))
+    assert {r["score"] for r in got if not r["n_symbols"]} == {0.0}
+    at = {r["doc_id"]: r["score"] for r in got}
+    assert at[100] < at[101] < at[102] and at[103] != at[104] and at[105] != at[106]  # alike as bytes, other words
+    assert rows(wordlm.score(empty(docs), good)) == []
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var x="</p><p>no";</script></head><body class="main-content">
 <header><a href=/>Home</a> site name</header><nav><ul><li><a href="/a">One</a><li><a href="/b">Two</a></ul></nav>
 <div class="cookie-notice">We use cookies to make this a longer and nicer sentence for you, dear reader of pages.</div>
