@@ -549,8 +549,7 @@ def retrieve_lsh(spark, d):
 @query("diversify_topk")
 def diversify_topk(spark, d):
     uv, pv = _vecs(spark, d)
-    cands = R.retrieve_topk(uv, pv, k=50)
-    return R.diversify_topk(cands, R.post_clusters(pv), k=10, per_cluster=2)
+    return R.retrieve_diverse(uv, pv, R.post_clusters(pv), k=10, per_cluster=2)
 
 
 @query("recommend")

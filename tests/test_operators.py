@@ -283,6 +283,23 @@ def test_lsh_candidates_are_exact_pairs(spark):
     assert joined.filter(F.abs(F.col("score") - F.col("exact")) > 1e-9).count() == 0
 
 
+def test_diverse_list_is_refilled_from_other_clusters(spark):
+    import numpy as np
+    from recbrook.operators.retrieval import retrieve_diverse
+    rng = np.random.default_rng(3)
+    centre = np.eye(8)[:3]  # 60 posts near the user, 3 and 1 far from it
+    vecs = [c + 0.05 * rng.normal(size=8) for c, n in zip(centre, (60, 3, 1)) for _ in range(n)]
+    of = [c for c, n in enumerate((60, 3, 1)) for _ in range(n)]
+    user = np.array([3, 2, 1, 0, 0, 0, 0, 0.0])
+    posts = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vecs)], "id long, embedding array<double>")
+    users = spark.createDataFrame([(1, [float(x) for x in user])], "id long, embedding array<double>")
+    clusters = spark.createDataFrame(list(enumerate(of)), "post_id long, cluster int")
+    got = retrieve_diverse(users, posts, clusters, k=4, per_cluster=2).orderBy("rank").collect()
+    want = sorted((i for c in range(3) for i in sorted((i for i in range(64) if of[i] == c),
+                                                       key=lambda i: -(user @ vecs[i]))[:2]), key=lambda i: -(user @ vecs[i]))[:4]
+    assert [r.post_id for r in got] == want and [r["rank"] for r in got] == [1, 2, 3, 4]
+
+
 def test_rerun_gives_same_rows(spark):
     from recbrook.sources import derived as D
     d = "/root/testdata/sf0.001"
