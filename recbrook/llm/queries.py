@@ -17,6 +17,7 @@ from .language import fit, learnable, predict
 from .lines import fuzzy_lines
 from .mixing import mix, mix_sql
 from .packing import pack_documents
+from .spelling import spelling_variants
 from .tokens import count_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -98,3 +99,8 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return extract_main_text(pages).drop("html").withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
