@@ -9,13 +9,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import neardup, wordlm
+from . import neardup, toxicity, wordlm
 from .embeddings import near_duplicates
 from .fingerprints import neighbour_fingerprints
 from .html import extract_main_text
 from .language import fit, learnable, predict
 from .lines import fuzzy_lines
 from .mixing import mix, mix_sql
+from .negatives import hard_negatives, negatives_sql
 from .packing import pack_documents
 from .spelling import spelling_variants
 from .tokens import count_tokens
@@ -104,3 +105,18 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held = table(spark, sf_dir, "documents").select("doc_id", "text"), toxicity.held_out()
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~held)
+    return toxicity.score(docs, model).select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+ORACLE["op13_hard_negatives"] = negatives_sql()
