@@ -7,7 +7,7 @@ or subtracts one vector.  The vector has two parts:
 
 * ``EXACT`` lanes modulo 2**32, from SHAKE-128 of the paragraph's bytes: equal
   exactly when the multisets of paragraphs are (up to collisions of 2,048 bits);
-* ``SKETCH`` lanes modulo 2**16, signed sums over the paragraph's three-word
+* ``SKETCH`` lanes modulo 2**32, signed sums over the paragraph's three-word
   windows: their cosine estimates how alike two documents are.
 
 Null text counts as empty; an empty text is one empty paragraph.
@@ -31,7 +31,7 @@ EXACT, SKETCH = 64, 256
 
 
 def fingerprint_lanes(paragraphs: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The summed vectors (uint32 exact lanes, uint16 sketch lanes)."""
+    """The summed vectors (uint32 exact lanes, uint32 sketch lanes)."""
     exact = np.zeros(EXACT, np.uint32)
     words: list[int] = []
     for p in paragraphs:
@@ -39,7 +39,7 @@ def fingerprint_lanes(paragraphs: list[str]) -> tuple[np.ndarray, np.ndarray]:
         exact += np.frombuffer(hashlib.shake_128(raw).digest(4 * EXACT), "<u4")
         words += (0, 0)
         words.extend(map(crc32, raw.split()))
-    sketch = np.zeros(SKETCH, np.uint16)
+    sketch = np.zeros(SKETCH, np.uint32)
     w = np.array(words, np.uint64)
     if len(w) > 2:
         h = w[2:] * np.uint64(0x9E3779B97F4A7C15) + w[1:-1] * np.uint64(0xC2B2AE3D27D4EB4F) \
@@ -51,7 +51,7 @@ def fingerprint_lanes(paragraphs: list[str]) -> tuple[np.ndarray, np.ndarray]:
         lane = (h & np.uint64(SKETCH - 1)).astype(np.int64)
         sign = ((h >> np.uint64(8)) & np.uint64(1)).astype(np.float64) * 2 - 1
         sums = np.bincount(lane, sign, SKETCH)
-        sketch += sums.astype(np.int64).astype(np.uint16)
+        sketch += sums.astype(np.int64).astype(np.uint32)
     return exact, sketch
 
 
@@ -64,19 +64,19 @@ def subtract(x, y):
 
 
 def encode(lanes) -> str:
-    return base64.b64encode(lanes[0].astype("<u4").tobytes() + lanes[1].astype("<u2").tobytes()).decode()
+    return base64.b64encode(lanes[0].astype("<u4").tobytes() + lanes[1].astype("<u4").tobytes()).decode()
 
 
 def decode(text: str):
     raw = base64.b64decode(text)
-    return np.frombuffer(raw, "<u4", EXACT).copy(), np.frombuffer(raw, "<u2", SKETCH, 4 * EXACT).copy()
+    return np.frombuffer(raw, "<u4", EXACT).copy(), np.frombuffer(raw, "<u4", SKETCH, 4 * EXACT).copy()
 
 
 def likeness(x, y) -> float:
     """1 for equal exact lanes, else the sketches' cosine held to 0..1."""
     if np.array_equal(x[0], y[0]):
         return 1.0
-    a, b = x[1].view(np.int16).astype(np.float64), y[1].view(np.int16).astype(np.float64)
+    a, b = x[1].view(np.int32).astype(np.float64), y[1].view(np.int32).astype(np.float64)
     n = np.sqrt((a @ a) * (b @ b))
     return float(min(1.0, max(0.0, a @ b / n))) if n else 0.0
 

@@ -75,8 +75,10 @@ LABELLED = [
     (50, 0.0, 4, 0.0, 70, 0.0, 0, 0), (12, 0.0, 3, 1.0, 30, 0.0, 0, 0), (4, 0.0, 33, 0.0, 28, 0.1, 0, 0),
     (40, 0.2, 9, 0.0, 11, 0.0, 0, 0), (75, 0.0, 20, 0.0, 12, 0.0, 0, 0), (8, 0.0, 2, 1.0, 75, 0.0, 0, 0),
     (15, 0.3, 70, 0.0, 6, 1.0, 0, 0), (240, 0.0, 55, 0.0, 3, 0.0, 0, 0), (2, 0.0, 0, 0.0, 0, 0.0, 0, 0),
-    # long paragraphs among long ones, in an aside by its name only
-    (160, 0.0, 150, 0.0, 170, 0.0, 0, 1), (95, 0.02, 130, 0.0, 120, 0.0, 0, 1), (210, 0.0, 95, 0.0, 140, 0.05, 0, 1),
+    # the same after or before a long paragraph of the article, long ones too
+    (6, 0.0, 100, 0.0, 0, 0.0, 0, 0), (9, 0.3, 240, 0.0, 5, 0.5, 0, 0), (160, 0.0, 150, 0.0, 170, 0.0, 0, 0),
+    (45, 0.0, 130, 0.0, 60, 0.0, 0, 0), (95, 0.02, 130, 0.0, 120, 0.0, 0, 0), (25, 0.1, 300, 0.0, 180, 0.0, 0, 0),
+    (210, 0.0, 95, 0.0, 140, 0.05, 0, 0),
     # outside any marked region: long text without links, or short beside it
     (50, 0.0, 4, 0.0, 70, 0.0, 1, 1), (31, 0.1, 60, 0.0, 25, 0.0, 1, 1), (90, 0.05, 2, 1.0, 3, 1.0, 1, 1),
     (22, 0.0, 40, 0.0, 35, 0.0, 1, 1), (6, 0.0, 45, 0.0, 60, 0.0, 1, 1), (8, 0.0, 2, 1.0, 75, 0.0, 1, 1),

@@ -6,10 +6,11 @@ densities of a fixed and of a learned lexicon, how near second-person words the
 hits stand, the densest window, capitals, punctuation, and obfuscation (digits
 and symbols inside words, spaced letters, stretched letters).
 
-About ``SAMPLE`` labelled rows are split three ways by a hash of the id: half
-teaches the lexicon (words and word beginnings that mark the label), three
-tenths the trees, a fifth the calibration, so no part is fitted on what an
-earlier one has seen.  Documents are scored where they lie; no text is shuffled.
+About ``SAMPLE`` labelled rows are split by a hash of the id into two folds and
+a rest.  Each fold teaches a lexicon (words and word beginnings that mark the
+label), the trees see each fold's rows by the other's lexicon, and the rest
+calibrates, so no part is fitted on what an earlier one has seen.  Documents are
+scored where they lie, by the lexicon of both folds; no text is shuffled.
 """
 
 from __future__ import annotations
@@ -29,8 +30,8 @@ from pyspark.sql import functions as F
 from .common import written
 
 #: Labelled rows that are fitted on, terms of the learned lexicon, and the
-#: documents of the label a term must be in.
-SAMPLE, TERMS, MIN_DOCS = 60_000, 2000, 4
+#: documents a term must be in.
+SAMPLE, TERMS, MIN_DOCS = 60_000, 2000, 3
 THRESHOLD, STEMS = 0.7, (3, 4, 5, 6, 7)
 WINDOW, NEAR = 50, 5
 
@@ -55,7 +56,7 @@ STAND_INS = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7"
 #: Bits of a token's code: a word, a learned hit, a fixed hit, a hit only once
 #: folded, address, mixed, capitals, one letter; a weight in sixteenths above.
 WORD, LEARNED, FIXED, FOLDED, SECOND, MIXED, SHOUT, SINGLE = (1 << i for i in range(8))
-FEATURES = 21
+FEATURES = 22
 
 
 def letters(token: str) -> str:
@@ -107,7 +108,7 @@ class Tokens(dict):
             out |= SHOUT
         if len(word) == len(t) == 1:
             out |= SINGLE
-        return out | int(min(weight, 15) * 16) << 8
+        return out | int(min(weight, 4000) * 16) << 8
 
     def __missing__(self, token: str) -> int:
         c = self.code(token)
@@ -144,6 +145,7 @@ def features(text: str, known: Tokens) -> np.ndarray:
     run = np.concatenate([[0], np.cumsum(hit)])
     dense = int((run[WINDOW:] - run[:-WINDOW]).max()) if len(run) > WINDOW else int(run[-1])
     weight = c >> 8
+    distinct = {tokens[i].lower(): int(weight[i]) for i in at}
     raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
     count = np.bincount(raw, minlength=256)
     size, alpha = max(1, len(raw)), max(1, int(count[65:91].sum() + count[97:123].sum()))
@@ -154,8 +156,8 @@ def features(text: str, known: Tokens) -> np.ndarray:
     symbols = int(count[[35, 36, 37, 38, 42, 64, 94, 126]].sum())
     return np.array([
         ((c & LEARNED) > 0).sum() / words, ((c & FIXED) > 0).sum() / words, (((c & FOLDED) > 0).sum() + len(sp)) / words,
-        hit.sum() / words, np.log1p(len(at)), dense, len(set(np.array(tokens, object)[at])) if len(at) else 0,
-        weight.sum() / 16 / words, weight.max(initial=0) / 16,
+        hit.sum() / words, np.log1p(len(at)), dense, len(distinct), np.log1p(sum(distinct.values()) / 16),
+        weight.sum() / 16 / words, np.log1p(weight.max(initial=0) / 16),
         len(second) / words, close / words, close / max(1, len(at)),
         count[65:91].sum() / alpha, ((c & SHOUT) > 0).sum() / words,
         (count[33:48].sum() + count[58:65].sum()) / size, (count[33] + count[63]) / size,
@@ -173,12 +175,14 @@ def split_labels(labels: DataFrame, id_col: str, label: str, usable: Column, sam
     h = F.pmod(F.xxhash64(F.lit(23), "doc_id"), F.lit(span))
     fold = F.pmod(F.xxhash64(F.lit(29), "doc_id"), F.lit(10))
     return rows.filter(h < int(span * share)).withColumn(
-        "fold", F.when(fold < 5, 0).when(fold < 8, 1).otherwise(2))
+        "fold", F.when(fold < 4, 0).when(fold < 8, 1).otherwise(2))
 
 
 def lexicon(taught: DataFrame, terms: int = TERMS) -> dict[str, float]:
-    """Log odds of the words and word beginnings that mark the label most
-    clearly (by the difference of two shares), ``terms`` at most."""
+    """The words and word beginnings that mark the label most clearly, ``terms``
+    at most, each with its evidence: the gain in log likelihood of knowing
+    the term.  It has to exceed half the logarithm of the number of terms tried,
+    so that what chance lets in stays weak beside what marks the label."""
     n = taught.agg(F.sum("toxic"), F.sum(1 - F.col("toxic"))).first()
     if not n[0] or not n[1]:
         return {}
@@ -188,13 +192,16 @@ def lexicon(taught: DataFrame, terms: int = TERMS) -> dict[str, float]:
     each = (taught.select("toxic", words.alias("words"))
             .select("toxic", F.explode(F.array_distinct(F.concat(F.col("words"), *stems))).alias("term"))
             .groupBy("term").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
-            .filter(F.col("a") >= MIN_DOCS))
-    pa, pb = F.col("a") / n[0], F.col("b") / n[1]
-    both = (F.col("a") + F.col("b")) / (n[0] + n[1])
-    z = (pa - pb) / F.sqrt(F.greatest(both * (1 - both), F.lit(1e-9)) * (1 / n[0] + 1 / n[1]))
+            .filter(F.col("a") + F.col("b") >= MIN_DOCS))
+    each = written(each, "toxicity-terms")
+    share = n[0] / (n[0] + n[1])
+    both = F.col("a") + F.col("b")
+    gain = F.col("a") * F.log(F.col("a") / (both * share)) + F.when(F.col("b") > 0, F.col("b") * F.log(
+        F.col("b") / (both * (1 - share)))).otherwise(0.0)
     odds = F.log((F.col("a") + 0.5) / (n[0] + 1)) - F.log((F.col("b") + 0.5) / (n[1] + 1))
-    best = each.select("term", z.alias("z"), odds.alias("odds")).filter("odds > 2 and z > 3").orderBy(F.desc("z"), "term").limit(terms)
-    return {r.term: float(r.odds) for r in best.collect()}
+    best = (each.filter(F.col("a") >= MIN_DOCS).select("term", gain.alias("gain"), odds.alias("odds"))
+            .filter(f"odds > 2 and gain > ln({max(1, each.count())}) / 2").orderBy(F.desc("gain"), "term").limit(terms))
+    return {r.term: float(r.gain) for r in best.collect()}
 
 
 def with_features(docs: DataFrame, text: str, terms: dict[str, float]) -> DataFrame:
@@ -219,8 +226,7 @@ class Model:
 
 
 def trees_on(rows: DataFrame):
-    return GBTClassifier(featuresCol="__v", labelCol="toxic", rawPredictionCol="__raw", probabilityCol="__p",
-                         predictionCol="__y", maxIter=30, maxDepth=4, stepSize=0.2, minInstancesPerNode=3, seed=17).fit(rows)
+    return GBTClassifier(featuresCol="__v", labelCol="toxic", maxIter=30, maxDepth=4, stepSize=0.2, minInstancesPerNode=3, seed=17).fit(rows)
 
 
 def fit(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc_id", text: str = "text",
@@ -233,16 +239,24 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc_i
     count = {y: sum(n for (_, v), n in held.items() if v == y) for y in (0, 1)}
     if not count[0] or not count[1]:
         return Model(share=1.0 if count[1] else 0.0)
-    terms = lexicon(taught.filter("fold = 0"))
-    rows = written(with_features(taught, "text", terms).select("doc_id", "toxic", "fold", "__x"), "toxicity-features") \
-        .select("doc_id", F.col("toxic").cast("double").alias("toxic"), "fold", array_to_vector("__x").alias("__v"))
-    # Few rows: the trees take every fold, and their own probability stands.
-    enough = min(held.get((f, y), 0) for f in (1, 2) for y in (0, 1)) >= 10
-    mine = rows.filter("fold = 1") if enough else rows
+    # Few rows: no calibration, the trees' own probability stands.
+    enough = min(held.get((2, y), 0) for y in (0, 1)) >= 10
+    folds = F.col("fold") if enough else F.when(F.col("fold") == 2, F.xxhash64("doc_id") % 2 == 0).otherwise(F.col("fold") == 0).cast("int")
+    taught = taught.withColumn("fold", folds)
+    by = [lexicon(taught.filter(f"fold = {f}")) for f in (0, 1)]
+    terms = lexicon(taught.filter("fold < 2"))
+
+    def seen(fold: int, known: dict[str, float]) -> DataFrame:
+        return with_features(taught.filter(F.col("fold") == fold), "text", known).select("doc_id", "toxic", "fold", "__x")
+
+    rows = seen(0, by[1]).unionByName(seen(1, by[0])).unionByName(seen(2, terms))
+    rows = written(rows, "toxicity-features").select(
+        F.col("doc_id"), F.col("toxic").cast("double").alias("toxic"), "fold", array_to_vector("__x").alias("__v"))
+    mine = rows.filter("fold < 2")
     trees = trees_on(mine.repartition(1).sortWithinPartitions("doc_id", "toxic"))  # bounded; one order, one model
     if not enough:
         return Model(terms, trees)
-    scored = trees.transform(rows.filter("fold = 2")).select("toxic", vector_to_array("__p")[1].alias("__q"))
+    scored = trees.transform(rows.filter("fold = 2")).select("toxic", vector_to_array("probability")[1].alias("__q"))
     return Model(terms, trees, IsotonicRegression(featuresCol="__q", labelCol="toxic", predictionCol="__c").fit(scored))
 
 
@@ -259,7 +273,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "te
         p = F.lit(float(model.share))
     else:
         rows = with_features(rows, "__text", model.terms).select("doc_id", array_to_vector("__x").alias("__v"))
-        rows = model.trees.transform(rows).select("doc_id", vector_to_array("__p")[1].alias("__q"))
+        rows = model.trees.transform(rows).select("doc_id", vector_to_array("probability")[1].alias("__q"))
         p = F.col("__q")
         if model.isotonic is not None:
             rows = model.isotonic.transform(rows)
