@@ -16,6 +16,7 @@ scored where they lie, by the lexicon of both folds; no text is shuffled.
 from __future__ import annotations
 
 import re
+import string
 import unicodedata
 from collections.abc import Iterator
 
@@ -63,10 +64,17 @@ def letters(token: str) -> str:
     return "".join(c for c in token if c.isalpha())
 
 
+_MARKS = re.compile("[\u0300-\u036f]+")
+_STRETCHED = re.compile(r"(.)\1{2,}")
+_PUNCTUATION = ".,;:!?\"'()[]{}«»„“”‘’-–…"
+_SYMBOLS = "#$%&*@+|_~^=<>/\\"
+
+
 def plain(word: str) -> str:
     """Without accents, stretched letters once."""
-    base = "".join(c for c in unicodedata.normalize("NFD", word) if not unicodedata.combining(c))
-    return re.sub(r"(.)\1{2,}", r"\1", base)
+    if not word.isascii():
+        word = _MARKS.sub("", unicodedata.normalize("NFD", word))
+    return _STRETCHED.sub(r"\1", word)
 
 
 class Tokens(dict):
@@ -76,6 +84,10 @@ class Tokens(dict):
         super().__init__()
         self.lexicon, self.address = lexicon, frozenset(ADDRESS)
         self.fixed = frozenset(INSULTS) | {plain(w) for w in INSULTS}
+        self.begun: dict[str, bool] = {}
+        #: How words of the lexicons begin, stretched or not; most words do not.
+        known = [w.rstrip("*") for w in (*lexicon, *self.fixed, *self.address)]
+        self.heads = frozenset(h for w in known for h in (w[:3], 3 * w[:1], w[:1] + 2 * w[1:2]))
 
     def weight(self, word: str) -> float:
         """The largest weight of the word and of its beginnings."""
@@ -84,11 +96,11 @@ class Tokens(dict):
 
     def code(self, token: str) -> int:
         t = token.lower()
-        word = letters(t)
+        core = t.strip(_PUNCTUATION)
+        word = core if core.isalpha() else letters(t)
         if not word:
             return 0
         out = WORD
-        core = t.strip(".,;:!?\"'()[]{}«»„“”‘’-–…")
         weight = self.weight(word)
         if weight:
             out |= LEARNED
@@ -96,7 +108,7 @@ class Tokens(dict):
             out |= FIXED
         if core != word:
             inner = letters(core.translate(STAND_INS))
-            if core[0].isalnum() or core[-1].isalnum() or word != core.strip("#$%&*@+|_~^=<>/\\"):
+            if core[0].isalnum() or core[-1].isalnum() or word != core.strip(_SYMBOLS):
                 out |= MIXED
             folded = self.weight(inner)
             if inner != word and not out & (LEARNED | FIXED) and (folded or inner in self.fixed):
@@ -110,8 +122,27 @@ class Tokens(dict):
             out |= SINGLE
         return out | int(min(weight, 4000) * 16) << 8
 
+    def begins(self, head: str) -> bool:
+        """Whether a word of the lexicons begins like ``head``; remembered."""
+        if len(self.begun) > 100_000:
+            self.begun.clear()
+        h = head.lower()
+        self.begun[head] = out = h in self.heads or not h.isascii() and plain(h)[:3] in self.heads
+        return out
+
     def __missing__(self, token: str) -> int:
-        c = self.code(token)
+        # The common case at once: a plain word that begins like none of the lexicons'.
+        core = token.strip(_PUNCTUATION)
+        head = core[:3]
+        begins = self.begun.get(head)
+        if core.isalpha() and not (self.begins(head) if begins is None else begins):
+            c = WORD
+            if token.isupper():
+                c |= SHOUT if len(core) > 1 else 0
+            if len(token) == 1:
+                c |= SINGLE
+        else:
+            c = self.code(token)
         if len(token) < 100:
             if len(self) > 500_000:
                 self.clear()
@@ -119,6 +150,12 @@ class Tokens(dict):
         return c
 
 
+# Rows that add up a histogram of codes' low bits, and one of bytes.
+_FLAGS = np.array([[code >> bit & 1 for code in range(256)] for bit in range(8)])
+_BYTES = np.array([[chr(c) in group for c in range(256)] for group in (
+    string.ascii_uppercase, string.ascii_letters, string.punctuation[:15] + ":;<=>?@", "!?", "#$%&*@^~")], np.int64)
+
+
 def spaced(tokens: list[str], single: np.ndarray, known: Tokens) -> list[int]:
     """Places where four or more one-letter tokens in a row spell a hit."""
     at = np.flatnonzero(single)
@@ -132,9 +169,29 @@ def spaced(tokens: list[str], single: np.ndarray, known: Tokens) -> list[int]:
 def features(text: str, known: Tokens) -> np.ndarray:
     tokens = text.split()
     c = np.fromiter(map(known.__getitem__, tokens), np.int64, len(tokens))
-    words = max(1, int(((c & WORD) > 0).sum()))
+    flags = _FLAGS @ np.bincount(c & 255, minlength=256)
+    words = max(1, int(flags[0]))
+    out = np.zeros(FEATURES)
+    if flags[1:4].any() or flags[7] >= 4:
+        out[:13] = hit_features(tokens, c, flags, words, known)
+    else:
+        out[10] = flags[4] / words
+    raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+    upper, alpha, marks, loud, symbols = (_BYTES @ np.bincount(raw, minlength=256)).tolist()
+    size, stretched = max(1, len(raw)), 0
+    if len(raw) > 2:
+        same = raw[1:] == raw[:-1]
+        stretched = np.count_nonzero(same[1:] & same[:-1] & (raw[2:] > 64))
+    out[13:] = (upper / max(1, alpha), flags[6] / words, marks / size, loud / size,
+                (text.count("!!") + text.count("??")) / words, flags[5] / words, symbols / size, stretched / size,
+                np.log1p(len(tokens)))
+    return out
+
+
+def hit_features(tokens: list[str], c: np.ndarray, flags: np.ndarray, words: int, known: Tokens):
+    """Densities of the hits, their evidence, and their distance to words of address."""
     hit = (c & (LEARNED | FIXED | FOLDED)) > 0
-    sp = spaced(tokens, (c & SINGLE) > 0, known)
+    sp = spaced(tokens, (c & SINGLE) > 0, known) if flags[7] >= 4 else []
     hit[sp] = True
     at, second = np.flatnonzero(hit), np.flatnonzero(c & SECOND)
     close = 0
@@ -146,23 +203,9 @@ def features(text: str, known: Tokens) -> np.ndarray:
     dense = int((run[WINDOW:] - run[:-WINDOW]).max()) if len(run) > WINDOW else int(run[-1])
     weight = c >> 8
     distinct = {tokens[i].lower(): int(weight[i]) for i in at}
-    raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
-    count = np.bincount(raw, minlength=256)
-    size, alpha = max(1, len(raw)), max(1, int(count[65:91].sum() + count[97:123].sum()))
-    stretched = 0
-    if len(raw) > 2:
-        same = raw[1:] == raw[:-1]
-        stretched = int((same[1:] & same[:-1] & (raw[2:] > 64)).sum())
-    symbols = int(count[[35, 36, 37, 38, 42, 64, 94, 126]].sum())
-    return np.array([
-        ((c & LEARNED) > 0).sum() / words, ((c & FIXED) > 0).sum() / words, (((c & FOLDED) > 0).sum() + len(sp)) / words,
-        hit.sum() / words, np.log1p(len(at)), dense, len(distinct), np.log1p(sum(distinct.values()) / 16),
-        weight.sum() / 16 / words, np.log1p(weight.max(initial=0) / 16),
-        len(second) / words, close / words, close / max(1, len(at)),
-        count[65:91].sum() / alpha, ((c & SHOUT) > 0).sum() / words,
-        (count[33:48].sum() + count[58:65].sum()) / size, (count[33] + count[63]) / size,
-        (text.count("!!") + text.count("??")) / words, ((c & MIXED) > 0).sum() / words, symbols / size, stretched / size,
-        np.log1p(len(tokens))], np.float64)
+    return (flags[1] / words, flags[2] / words, (flags[3] + len(sp)) / words, len(at) / words, np.log1p(len(at)), dense,
+            len(distinct), np.log1p(sum(distinct.values()) / 16), weight.sum() / 16 / words,
+            np.log1p(weight.max(initial=0) / 16), flags[4] / words, close / words, close / max(1, len(at)))
 
 
 def split_labels(labels: DataFrame, id_col: str, label: str, usable: Column, sample: int) -> DataFrame:
