@@ -17,11 +17,17 @@ hash of their id; a block's distinct words and bigrams, as 64-bit hashes, go
 with their counts to ranges of hashes, where counts of equal hashes are added
 up and go back to the blocks that asked, so a word that every document has is
 a row a block.  Blocks and ranges hold about ``BLOCK`` and ``RANGE`` bytes of
-text each, so their number grows with the corpus.
+text each, so their number grows with the corpus.  A block and a range exchange
+a row only where the block has a word or bigram of the range, so rows are
+bounded by the distinct ones of all blocks, which grow in line with the text.
+
+A document's own words are in both counts: a target document scores itself
+the better for it, and a document that occurs twice scores lower in the background.
 """
 
 from __future__ import annotations
 
+import re
 import zlib
 from hashlib import blake2b
 
@@ -39,8 +45,24 @@ _TOKEN = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]|[\p{L}\p{M}\p{N}--\p{
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
+def _ranges(points: list[int]) -> str:
+    """The code points as ranges of a character class."""
+    cut = np.flatnonzero(np.diff(points) > 1)
+    firsts, lasts = [points[0], *(points[i + 1] for i in cut)], [*(points[i] for i in cut), points[-1]]
+    return "".join(f"\\u{a:04x}-\\u{b:04x}" for a, b in zip(firsts, lasts))
+
+
+# Below the ideographs a word is a run of one class, which the plain matcher
+# finds several times faster; other texts take the full pattern.
+_IDEOGRAPHS = 0x2E80
+_CLASS = {k: _ranges([c for c in range(_IDEOGRAPHS) if regex.match(p, chr(c))])
+          for k, p in (("word", r"[\p{L}\p{M}\p{N}]"), ("space", r"\s"))}
+_PLAIN = re.compile(f"[{_CLASS['word']}]+|[^{_CLASS['word']}{_CLASS['space']}]").findall
+_BEYOND = re.compile(f"[\\u{_IDEOGRAPHS:04x}-\U0010ffff]").search
+
+
 def tokens(text: str) -> list[str]:
-    return _TOKEN(text)
+    return _TOKEN(text) if _BEYOND(text) else _PLAIN(text)
 
 
 class Hashes(dict):
@@ -60,7 +82,7 @@ START, END = (int.from_bytes(blake2b(x, digest_size=8, person=b"mark").digest(),
 def grams(text: str, hashes: Hashes) -> tuple[np.ndarray, np.ndarray]:
     """(words, bigrams): the hash of the start, the words and the end, and of
     each but the first with the one before it; empty without a word."""
-    found = _TOKEN(text)
+    found = tokens(text)
     if not found:
         return np.empty(0, np.uint64), np.empty(0, np.uint64)
     w = np.fromiter((START, *map(hashes.__getitem__, found), END), np.uint64, len(found) + 2)
