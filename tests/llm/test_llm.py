@@ -319,6 +319,18 @@ def test_lm_counts_and_losses(spark, docs):
     rows(lm.score(empty(docs), lm.corpus_counts(df.filter("false"), "text", "good")))
 
 
+def test_plain_words_are_those_of_the_full_pattern():
+    from recbrook.llm import wordlm
+    rng = random.Random(8)
+    alphabet = [chr(c) for c in range(0x2E80) if not 0xD800 <= c < 0xE000]
+    texts = ["".join(rng.choices(alphabet, k=400)) for _ in range(300)]
+    texts += ["a\x1cb\x85c\xa0d\u2028e don’t 3½ ÉÀx\u0301", "漢字 kana カナ x", "", "\ud800 a", "\U0001f600 smile é"]
+    texts += [t + "語" for t in texts[:20]]
+    for t in texts:
+        assert wordlm.tokens(t) == wordlm._TOKEN(t)
+    assert wordlm._BEYOND("語") and not wordlm._BEYOND(texts[0])
+
+
 def test_word_lm_matches_direct_counts(spark, docs, monkeypatch):
     from collections import Counter
     from recbrook.llm import wordlm
@@ -391,7 +403,45 @@ def test_html_names_are_no_shortcut():
     for attrs in ("hidden", "hidden=''", 'style="color:red; display : none"', 'style="visibility:hidden"', 'aria-hidden="true"'):
         assert html.main_text(f"<article><p>Seen.</p><p {attrs}>Not seen.</p></article>", tree) == "Seen.", attrs
     assert html.main_text('<section id="comments"><article class="comment"><p>I like it.</p></article></section>', tree) == ""
-    assert {(r[6], r[7]) for r in html.LABELLED} == {(a, b) for a in (0, 1, 2) for b in (0, 1)}
+    assert {(r[6], r[7]) for r in html.LABELLED} == {(0, 0), (1, 0), (1, 1), (2, 0), (2, 1)}  # no aside is content
+
+
+def test_html_asides_after_long_paragraphs():
+    tree = html.train_tree()
+    para = "word " * 150
+    for extra in ("<footer>Copyright someone 2020, all rights reserved</footer>", "<aside>Buy this now, it is cheap</aside>",
+                  "<div class='comments'><p>" + "I liked this very much indeed. " * 20 + "</p><p>Me too</p></div>",
+                  "<div class='ad-banner'>" + "offer " * 120 + "</div>", "<nav><a href=x>next</a> one</nav>",
+                  "<section id='disqus'><p>" + "said " * 90 + "</p></section>"):
+        for page in (f"<article><p>{para}</p></article>{extra}", f"<body><p>{para}</p>{extra}<p>{para}</p>",
+                     f"<main><p>{para}</p>{extra}<p>{para}</p></main>"):
+            kept = html.main_text(page, tree).split("\n")
+            assert set(kept) == {para.strip()}, (extra, kept)
+
+
+def test_no_aside_block_of_the_given_pages_is_kept(spark):
+    tree = html.train_tree()
+    leaks = 0
+    for (page,) in spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("html").collect():
+        found = html.blocks(page or "")
+        for i, (_, words, linked, region) in enumerate(found):
+            if region == html.BOILER:
+                w0, l0 = (found[i - 1][1], found[i - 1][2]) if i else (0, 0)
+                w1, l1 = (found[i + 1][1], found[i + 1][2]) if i + 1 < len(found) else (0, 0)
+                leaks += html.classify(tree, (words, linked / words, w0, l0 / w0 if w0 else 0.0, w1, l1 / w1 if w1 else 0.0, region))
+    assert leaks == 0
+
+
+def test_likeness_of_long_repetitive_texts():
+    """Sketch lanes hold counts past 16 bits: the same edit looks alike at any length."""
+    got = []
+    for n in (4_000, 40_000, 400_000):
+        t = "a b c d " * n
+        e = fingerprints.edited(t, "e f g h " * n)
+        x, y = (fingerprints.fingerprint_lanes(v.split("\n")) for v in (t, e))
+        got.append(fingerprints.likeness(x, y))
+        assert fingerprints.encode(fingerprints.decode(fingerprints.encode(x))) == fingerprints.encode(x)
+    assert max(got) - min(got) < 0.01 and got[0] > 0.8
 
 
 def test_pipeline(spark):
