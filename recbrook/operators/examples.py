@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.vectors import dense, dot, rule_matrix, sigmoid
-
-# Width of the scalar-feature projections in the ranking model.
-SPARSE_PROJECTION = 16
+from ..functions.vectors import dot, sigmoid
+from ..schemas import POST_DENSE_COLS, USER_DENSE_COLS
 
 
 def embedding_lookup(keys: DataFrame, key: str, vectors: DataFrame, out: str = "embedding") -> DataFrame:
@@ -20,10 +18,12 @@ def embedding_lookup(keys: DataFrame, key: str, vectors: DataFrame, out: str = "
 
 def scored_pairs(pairs: DataFrame, user_vecs: DataFrame, post_vecs: DataFrame) -> DataFrame:
     """``score`` = dot product of the user and post vectors for every
-    (user_id, post_id) row; label = weight > 0 when a weight is present."""
+    (user_id, post_id) row, 0 where a side has no vector; label = weight > 0
+    when a weight is present."""
     u = user_vecs.select(F.col("id").alias("user_id"), F.col("embedding").alias("_u"))
     p = post_vecs.select(F.col("id").alias("post_id"), F.col("embedding").alias("_p"))
-    out = pairs.join(u, "user_id").join(p, "post_id").withColumn("score", dot(F.col("_u"), F.col("_p")))
+    out = (pairs.join(u, "user_id", "left").join(p, "post_id", "left")
+           .withColumn("score", F.coalesce(dot(F.col("_u"), F.col("_p")), F.lit(0.0))))
     if "weight" in pairs.columns:
         out = out.withColumn("label", (F.col("weight") > 0).cast("int"))
     return out.drop("_u", "_p")
@@ -39,35 +39,55 @@ def mean_pool(history: DataFrame, key: str, vec: str) -> DataFrame:
         key, F.transform("_p", lambda s: s["_m"]).alias("pooled"))
 
 
-def project_dense(df: DataFrame, col: str, n_in: int, n_out: int = SPARSE_PROJECTION,
-                  seed: int = 1) -> DataFrame:
-    """``relu(W x + b)`` with rule-generated weights (the untrained form of
-    the ranking model's scalar-feature projection)."""
-    w, b = rule_matrix(n_out, n_in, seed)
-    return df.withColumn(f"{col}_proj", dense(F.col(col), w, b, relu=True))
+def _zeros(width) -> Column:
+    return F.array_repeat(F.lit(0.0).cast("float"), width)
 
 
 def training_examples(iwn: DataFrame, user_dense: DataFrame, post_dense: DataFrame,
                       user_vecs: DataFrame, post_vecs: DataFrame) -> DataFrame:
     """One row per interaction (negatives included) with both learned
     vectors, both scalar-feature vectors, the label and the weight, keyed
-    by the interaction's own user and post ids."""
+    by the interaction's own user and post ids.
+
+    No row is lost: a side without a vector brings zeros and
+    ``has_user_vector`` / ``has_post_vector`` 0 (the ranker's weights on these
+    marks are the learned default); missing scalars are zeros too."""
     u = user_vecs.select(F.col("id").alias("user_id"), F.col("embedding").alias("user_embedding"))
     p = post_vecs.select(F.col("id").alias("post_id"), F.col("embedding").alias("post_embedding"))
     ud = user_dense.withColumnRenamed("uid", "user_id")
     pd_ = post_dense.withColumnRenamed("po_id", "post_id")
+    wide = {n: F.coalesce(v.select(F.max(F.size("embedding")).alias("w")).scalar(), F.lit(0))
+            for n, v in (("user", user_vecs), ("post", post_vecs))}
     return (iwn.select("user_id", "post_id", "interaction_type", "weight")
             .withColumn("label", (F.col("weight") > 0).cast("int"))
-            .join(u, "user_id").join(ud, "user_id")
-            .join(p, "post_id").join(pd_, "post_id"))
+            .join(u, "user_id", "left").join(ud, "user_id", "left")
+            .join(p, "post_id", "left").join(pd_, "post_id", "left")
+            .withColumns({
+                "has_user_vector": F.col("user_embedding").isNotNull().cast("int"),
+                "has_post_vector": F.col("post_embedding").isNotNull().cast("int"),
+                "user_embedding": F.coalesce("user_embedding", _zeros(wide["user"])),
+                "post_embedding": F.coalesce("post_embedding", _zeros(wide["post"])),
+                "user_dense": F.coalesce("user_dense", _zeros(F.lit(len(USER_DENSE_COLS)))),
+                "post_dense": F.coalesce("post_dense", _zeros(F.lit(len(POST_DENSE_COLS))))}))
 
 
 def content_vector(examples: DataFrame) -> DataFrame:
     """The ranking input: user vector, post vector, user scalars, post
-    scalars, concatenated in that order (float)."""
+    scalars, the two marks, concatenated in that order (float)."""
+    marks = F.array(F.col("has_user_vector").cast("float"), F.col("has_post_vector").cast("float"))
     return examples.withColumn("features", F.concat(
         F.col("user_embedding"), F.col("post_embedding"),
-        F.col("user_dense"), F.col("post_dense")))
+        F.col("user_dense"), F.col("post_dense"), marks))
+
+
+def with_texts_and_location(examples: DataFrame, users_encoded: DataFrame, posts_encoded: DataFrame,
+                            locations: DataFrame) -> DataFrame:
+    """Examples with the towers' inputs: the padded id arrays of the user's and
+    the post's text columns and the user's location features (NULL for a user
+    or post without a row)."""
+    return (examples.join(users_encoded.withColumnRenamed("uid", "user_id"), "user_id", "left")
+            .join(locations.withColumnRenamed("uid", "user_id"), "user_id", "left")
+            .join(posts_encoded.withColumnRenamed("po_id", "post_id"), "post_id", "left"))
 
 
 def dot_probability(scored: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.arrays import ordered_values
+from .ordering import _materialise, _ranged
 from ..functions.time import adjacent_gaps_seconds, geometric_mean_positive
 
 COUNTED_TYPES = {"viewed_posts": "view", "upvoted_posts": "upvote",
@@ -55,6 +56,47 @@ def login_frequency(times: str = "login_times"):
     return F.when(F.size(times) >= 2, F.coalesce(geometric_mean_positive(gaps), F.lit(0.0)))
 
 
+def login_gaps(logins: DataFrame) -> DataFrame:
+    """One row per adjacent login pair of a user: (uid, i, interval seconds),
+    from one row per login (uid, ts); rows without either are left out.
+
+    Logins are put in (uid, ts) order over range partitions, so the logins of
+    one user with a third of all rows lie in many of them.  ``lag`` runs inside
+    a partition; the first row of each takes its predecessor from a table of
+    every partition's last row (one row a partition, as are the offsets)."""
+    ranged = _ranged(logins.filter(F.col("uid").isNotNull() & F.col("ts").isNotNull()).select("uid", "ts"),
+                     [F.col("uid"), F.col("ts")], None)
+    inside = Window.partitionBy("_pid").orderBy("uid", "ts")
+    local = _materialise(ranged.withColumns({
+        "_before": F.lag(F.struct("uid", "ts")).over(inside), "_n": F.row_number().over(inside)}))
+    order = Window.orderBy("_pid")
+    ends = (local.groupBy("_pid").agg(F.max(F.struct("uid", "ts")).alias("_last"), F.count(F.lit(1)).alias("_rows"))
+            .select("_pid", F.lag("_last").over(order).alias("_edge"),
+                    (F.sum("_rows").over(order) - F.col("_rows")).alias("_off")))
+    placed = (local.join(F.broadcast(ends), "_pid")
+              .select("uid", "ts", F.when(F.col("_n") == 1, F.col("_edge")).otherwise(F.col("_before")).alias("_b"),
+                      (F.col("_off") + F.col("_n")).alias("_at")))
+    same = F.coalesce(F.col("_b.uid") == F.col("uid"), F.lit(False))
+    first = placed.filter(~same).select(F.col("uid").alias("_u"), F.col("_at").alias("_first"))  # a row a user
+    return (placed.filter(same).join(first, F.col("uid") == F.col("_u"))
+            .select("uid", (F.col("_at") - F.col("_first") - 1).cast("int").alias("i"),
+                    F.expr("timestampdiff(SECOND, _b.ts, ts)").alias("interval")))
+
+
+def login_frequency_by_user(logins: DataFrame) -> DataFrame:
+    """(uid, login_frequency) of users with two logins or more, from one row
+    per login: the geometric mean of the positive gaps, 0 without one; sums
+    are partial per task."""
+    gap = F.when(F.col("interval") > 0, F.col("interval"))
+    mean = F.exp(F.try_divide(F.sum(F.ln(gap)), F.count(gap)))
+    return login_gaps(logins).groupBy("uid").agg(F.coalesce(mean, F.lit(0.0)).alias("login_frequency"))
+
+
+def login_frequency_of(user_keys: DataFrame, logins: DataFrame) -> DataFrame:
+    """The same for every user; NULL with fewer than two logins."""
+    return user_keys.select("uid").join(login_frequency_by_user(logins), "uid", "left")
+
+
 def recent_titles_by_user(interactions: DataFrame, post_text: DataFrame,
                           k: int = RECENT_TITLES) -> DataFrame:
     """``ARRAY_AGG(title ORDER BY interaction_time DESC LIMIT k)`` per user.

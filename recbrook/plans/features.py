@@ -33,7 +33,7 @@ class Inputs:
     interactions: DataFrame
     profile: DataFrame  # users' own columns only (no bio, no logins)
     bio: DataFrame      # (uid, bio) for users with a bio
-    logins: DataFrame   # (uid, login_times) for every user
+    logins: DataFrame   # (uid, ts), a row per login
 
     @classmethod
     def load(cls, spark: SparkSession, sf_dir: str) -> "Inputs":
@@ -41,7 +41,7 @@ class Inputs:
                    D.post_titles(spark, sf_dir), D.post_text(spark, sf_dir),
                    D.comments(spark, sf_dir), D.collabs(spark, sf_dir),
                    D.interactions(spark, sf_dir), D.user_profile(spark, sf_dir),
-                   D.user_bio(spark, sf_dir), D.user_login_times(spark, sf_dir))
+                   D.user_bio(spark, sf_dir), D.logins(spark, sf_dir))
 
 
 def interactions_with_negatives(x: Inputs) -> DataFrame:
@@ -52,7 +52,7 @@ def user_table(x: Inputs, iwn: DataFrame | None = None) -> DataFrame:
     """Users with counts, login frequency, project and recent titles."""
     iwn = iwn if iwn is not None else interactions_with_negatives(x)
     return (x.users
-            .withColumn("login_frequency", U.login_frequency())
+            .join(U.login_frequency_by_user(x.logins), "uid", "left")
             .join(U.interaction_counts_by_user(x.interactions), "uid", "left")
             .na.fill(0, subset=list(U.COUNTED_TYPES))
             .join(collabs.project_titles_by_user(x.collabs), "uid", "left")
@@ -62,7 +62,7 @@ def user_table(x: Inputs, iwn: DataFrame | None = None) -> DataFrame:
 def user_numeric(x: Inputs) -> DataFrame:
     """(uid, login_frequency, viewed_posts, upvoted_posts, commented_posts):
     the ranking model's user scalars, without reading any user text."""
-    return (x.logins.select("uid", U.login_frequency().alias("login_frequency"))
+    return (U.login_frequency_of(x.profile, x.logins)
             .join(U.interaction_counts_by_user(x.interactions), "uid", "left")
             .na.fill(0, subset=list(U.COUNTED_TYPES)))
 
@@ -94,8 +94,9 @@ def scaled_post_features(post_tbl: DataFrame) -> DataFrame:
 
 
 def location_features(users: DataFrame) -> DataFrame:
-    """(uid, lat, lon scaled, geo_rbf)."""
-    sp = geo.scaled_points(geo.points(users))
+    """(uid, lat, lon scaled, geo_rbf), from the points as the warehouse stores
+    them; one that cannot be read counts as missing."""
+    sp = geo.scaled_points(geo.decode_points(geo.encode_points(users)))
     return geo.geo_rbf(sp, geo.rbf_centers(sp))
 
 

@@ -305,8 +305,8 @@ cte("pvec", ["vectors"], "SELECT id, embedding, label FROM vectors WHERE side =
 
 cte("scored", ["iwn", "uvec", "pvec"], f"""
 SELECT i.user_id, i.post_id, i.interaction_type, i.weight, CAST(i.weight > 0 AS INTEGER) AS label,
-       {sql_dot('u.embedding', 'p.embedding')} AS score
-FROM iwn i JOIN uvec u ON u.id = i.user_id JOIN pvec p ON p.id = i.post_id""")
+       coalesce({sql_dot('u.embedding', 'p.embedding')}, 0.0) AS score
+FROM iwn i LEFT JOIN uvec u ON u.id = i.user_id LEFT JOIN pvec p ON p.id = i.post_id""")
 
 cte("topk", ["uvec", "pvec"], f"""
 SELECT user_id, CAST(rank AS INTEGER) AS rank, post_id, score FROM (
@@ -334,11 +334,28 @@ FROM user_counts c JOIN scaled_lf s USING (uid)""")
 cte("post_dense", ["scaled_posts"], "SELECT po_id, [" + ", ".join(_f(c) for c in POST_DENSE)
     + "] AS post_dense FROM scaled_posts")
 
-cte("examples", ["iwn", "uvec", "pvec", "user_dense", "post_dense"], """
+def _or_zeros(expr: str, width: str) -> str:
+    return f"coalesce({expr}, list_resize(CAST([] AS FLOAT[]), {width}, 0.0::FLOAT))"
+
+
+cte("examples", ["iwn", "uvec", "pvec", "user_dense", "post_dense"], f"""
 SELECT i.user_id, i.post_id, i.interaction_type, i.weight, CAST(i.weight > 0 AS INTEGER) AS label,
-       u.embedding AS user_embedding, ud.user_dense, p.embedding AS post_embedding, pd.post_dense
-FROM iwn i JOIN uvec u ON u.id = i.user_id JOIN user_dense ud ON ud.uid = i.user_id
-JOIN pvec p ON p.id = i.post_id JOIN post_dense pd ON pd.po_id = i.post_id""")
+       CAST(u.id IS NOT NULL AS INTEGER) AS has_user_vector, CAST(p.id IS NOT NULL AS INTEGER) AS has_post_vector,
+       {_or_zeros('u.embedding', '(SELECT max(len(embedding)) FROM uvec)')} AS user_embedding,
+       {_or_zeros('ud.user_dense', '4')} AS user_dense,
+       {_or_zeros('p.embedding', '(SELECT max(len(embedding)) FROM pvec)')} AS post_embedding,
+       {_or_zeros('pd.post_dense', '7')} AS post_dense
+FROM iwn i LEFT JOIN uvec u ON u.id = i.user_id LEFT JOIN user_dense ud ON ud.uid = i.user_id
+LEFT JOIN pvec p ON p.id = i.post_id LEFT JOIN post_dense pd ON pd.po_id = i.post_id""")
+
+# ---- held-out split ----------------------------------------------------------------
+cte("split", ["iwn"], """
+SELECT i.*, CASE WHEN weight > 0 THEN coalesce(rn <= 2, false)
+                 ELSE coalesce(((user_id * 31 + post_id * 17) % 5 + 5) % 5 = 0, false) END AS held_out
+FROM iwn i LEFT JOIN (
+  SELECT event_id AS held, row_number() OVER (
+    PARTITION BY user_id ORDER BY interaction_time DESC NULLS LAST, event_id DESC) AS rn
+  FROM iwn WHERE weight > 0) ON held = event_id""")
 
 cte("retrieval_ce", ["weighted", "uvec", "pvec"], f"""
 SELECT batch, event_id, weight, m + ln(sum(exp(l - m))) - any_value(diag) AS ce FROM (

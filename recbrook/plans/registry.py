@@ -162,14 +162,14 @@ def user_interaction_counts(spark, d):
 
 @query("login_intervals", with_ctes("SELECT * FROM login_intervals", "login_intervals"))
 def login_intervals(spark, d):
-    return U.login_intervals(D.user_login_times(spark, d))
+    return U.login_gaps(D.logins(spark, d).join(D.user_keys(spark, d), "uid", "left_semi"))
 
 
 @query("user_login_frequency", with_ctes(
     "SELECT uid, round(login_frequency, 6) AS login_frequency FROM login_frequency",
     "login_frequency"))
 def user_login_frequency(spark, d):
-    out = U.user_login_frequency(D.user_login_times(spark, d))
+    out = U.login_frequency_of(D.user_keys(spark, d), D.logins(spark, d))
     return out.withColumn("login_frequency", r6(F.col("login_frequency")))
 
 
@@ -247,7 +247,7 @@ def scale_posts(spark, d):
 @query("scale_users", with_ctes(scale_sql("login_frequency", "uid", ["login_frequency"], 6),
                                 "login_frequency"))
 def scale_users(spark, d):
-    sc = FT.scaled_user_features(U.user_login_frequency(D.user_login_times(spark, d)))
+    sc = FT.scaled_user_features(U.login_frequency_of(D.user_keys(spark, d), D.logins(spark, d)))
     return sc.select("uid", r6(F.col("login_frequency")).alias("login_frequency"))
 
 
@@ -328,7 +328,7 @@ def encode_posts(spark, d):
 
 # ---- vectors, examples, retrieval, metrics ---------------------------------------
 from ..operators import examples as X, metrics as M, retrieval as R  # noqa: E402
-from ..functions.vectors import round_all  # noqa: E402
+from ..functions.vectors import dense, round_all  # noqa: E402
 
 
 def _vecs(spark, d):
@@ -412,20 +412,17 @@ def post_dense_vector(spark, d):
     return _post_dense(spark, d)
 
 
-def _dense_sql() -> str:
-    from ..functions.vectors import rule_matrix
-    w, b = rule_matrix(X.SPARSE_PROJECTION, 4, 1)
-    outs = []
-    for row, bias in zip(w, b):
-        terms = " + ".join(f"({v!r}::DOUBLE) * user_dense[{j + 1}]::DOUBLE" for j, v in enumerate(row))
-        outs.append(f"round(greatest(0.0 + {terms} + ({bias!r}::DOUBLE), 0.0), 6)")
-    return "SELECT uid, [" + ", ".join(outs) + "] AS user_dense_proj FROM user_dense"
-
-
-@query("dense_relu", with_ctes(_dense_sql(), "user_dense"))
+@query("dense_relu")
 def dense_relu(spark, d):
-    out = X.project_dense(_user_dense(spark, d), "user_dense", 4)
-    return out.select("uid", round_all(F.col("user_dense_proj")).alias("user_dense_proj"))
+    """``relu(W x + b)``, 16 wide, of each user's scalars, with the weights the
+    joint ranker learned for them."""
+    ex = RC.ranking_examples(spark, d)[0]
+    model = RK.fit(ex, RC.given_shape(spark, d))
+    w = RK.unflatten(model.shape, model.flat)
+    at = slice(model.shape.user_vec + model.shape.post_vec, model.shape.user_vec + model.shape.post_vec + model.shape.user)
+    scaled = w["wu"].T / model.scale[at]
+    bias = w["bu"] - scaled @ model.mean[at]
+    return _user_dense(spark, d).select("uid", dense(F.col("user_dense"), scaled.tolist(), bias.tolist()).alias("user_dense_proj"))
 
 
 def _examples(spark, d):
@@ -444,13 +441,27 @@ def training_examples(spark, d):
 
 @query("content_vector", with_ctes(
     "SELECT user_id, post_id, interaction_type, label, "
-    "list_concat(list_concat(list_concat(user_embedding, post_embedding), user_dense), post_dense) "
-    "AS features FROM examples", "examples"))
+    "user_embedding || post_embedding || user_dense || post_dense "
+    "|| [CAST(has_user_vector AS FLOAT), CAST(has_post_vector AS FLOAT)] AS features FROM examples", "examples"))
 def content_vector(spark, d):
     return X.content_vector(_examples(spark, d)).select(
         "user_id", "post_id", "interaction_type", "label", "features")
 
 
+@query("whole_examples", with_ctes(
+    "SELECT e.*, " + ", ".join(f"u.{c}" for c in USER_TEXT) + ", g.geo_rbf, " + ", ".join(f"p.{c}" for c in POST_TEXT)
+    + " FROM examples e LEFT JOIN padded_users u ON u.uid = e.user_id LEFT JOIN padded_posts p ON p.po_id = e.post_id "
+    "LEFT JOIN geo_rbf g ON g.uid = e.user_id", "examples", "padded_users", "padded_posts", "geo_rbf"))
+def whole_examples(spark, d):
+    """Training examples with both towers' inputs: vectors, scalars, the padded
+    text ids and the location features."""
+    x = _inputs(spark, d)
+    _, users, posts = FT.encoded_tables(x, FT.interactions_with_negatives(x))
+    where = FT.location_features(x.profile).select("uid", round_all(F.col("geo_rbf")).alias("geo_rbf"))
+    return X.with_texts_and_location(_examples(spark, d), users.select("uid", *USER_TEXT),
+                                     posts.select("po_id", *POST_TEXT), where)
+
+
 @query("retrieve_topk", with_ctes(
     "SELECT user_id, rank, post_id, round(score, 6) AS score FROM topk", "topk"))
 def retrieve_topk(spark, d):
@@ -487,7 +498,11 @@ def retrieval_loss(spark, d):
 
 
 # ---- model stages (trained: rows-only checks) ------------------------------------
-from ..operators import models as MD  # noqa: E402
+import uuid as _uuid  # noqa: E402
+
+from ..operators import content as CT, ivf as IVF, models as MD, ranker as RK, split as SP  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from .oracle import sql_dot  # noqa: E402
 from . import recommend as RC  # noqa: E402
 
 
@@ -508,12 +523,7 @@ def als_embeddings(spark, d):
 
 
 def _content(spark, d):
-    x = _inputs(spark, d)
-    cu = CL.clean_users(FT.user_table(x))
-    user_text = cu.select("uid", F.concat_ws(" ", "passions", "project_titles", "bio").alias("text"))
-    post_text = x.post_text.select("po_id", F.concat_ws(" ", "title", "description").alias("text"))
-    geo_feats = FT.location_features(x.profile).select("uid", "geo_rbf")
-    return MD.content_embeddings(user_text, post_text, geo_feats)
+    return CT.content_embeddings(*RC.content_texts(_inputs(spark, d)))
 
 
 @query("content_embeddings")
@@ -521,6 +531,18 @@ def content_embeddings(spark, d):
     return _content(spark, d)
 
 
+@query("content_vector_facts", with_ctes(
+    "SELECT 'user' AS side, count(*) AS n, 32 AS width, count(*) AS n_finite FROM user_keys UNION ALL "
+    "SELECT 'post', count(*), 32, count(*) FROM documents", "user_keys"))
+def content_vector_facts(spark, d):
+    """What holds of the fitted content vectors: one per user and per post, 32
+    wide, every number finite."""
+    finite = ~F.exists("embedding", lambda v: F.isnan(v) | v.isNull() | (F.abs(v) == float("inf")))
+    return _content(spark, d).groupBy("side").agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.size("embedding")).alias("width"),
+        F.count(F.when(finite & (F.size("embedding") == 32), 1)).alias("n_finite"))
+
+
 @query("embed_all")
 def embed_all(spark, d):
     als = MD.als_embeddings(_iwn(spark, d)).withColumn("space", F.lit("interaction"))
@@ -528,16 +550,57 @@ def embed_all(spark, d):
     return als.unionByName(content)
 
 
+RANKED = ["user_id", "post_id", "label"]
+
+
 @query("rank_mlp")
 def rank_mlp(spark, d):
-    ex = RC.ranking_examples(spark, d)[0]
-    return MD.predict(MD.rank_mlp(ex), ex, ["user_id", "post_id", "label"])
+    fit, held = RC.ranking_examples(spark, d)
+    return MD.predict(MD.rank_mlp(fit), held, RANKED)
 
 
 @query("rank_wide")
 def rank_wide(spark, d):
-    ex = RC.ranking_examples(spark, d)[0]
-    return MD.predict(MD.rank_wide(ex), ex, ["user_id", "post_id", "label"])
+    fit, held = RC.ranking_examples(spark, d)
+    return MD.predict(MD.rank_wide(fit), held, RANKED)
+
+
+@query("rank_joint")
+def rank_joint(spark, d):
+    """Held-out rows, scored by the wide and deep ranker trained on the others."""
+    fit, held = RC.ranking_examples(spark, d)
+    return RK.predict(RK.fit(fit, RC.given_shape(spark, d)), held, RANKED)
+
+
+# ---- held-out evaluation ---------------------------------------------------------
+@query("temporal_split", with_ctes(
+    "SELECT event_id, user_id, post_id, interaction_type, weight, held_out FROM split", "split"))
+def temporal_split(spark, d):
+    return SP.temporal_split(_iwn(spark, d)).select(
+        "event_id", "user_id", "post_id", "interaction_type", "weight", "held_out")
+
+
+@query("recall_heldout", with_ctes(
+    "SELECT user_id, count(t) AS hits, count(*) AS relevant, count(t) / count(*) AS recall FROM ("
+    "SELECT DISTINCT user_id, post_id FROM split WHERE held_out AND weight > 0 AND post_id IS NOT NULL AND user_id IS NOT NULL) "
+    "LEFT JOIN (SELECT user_id, post_id, 1 AS t FROM topk) USING (user_id, post_id) GROUP BY user_id", "split", "topk"))
+def recall_heldout(spark, d):
+    """Recall of the ten best posts by the given vectors against each user's own
+    held-out positives."""
+    uv, pv = _vecs(spark, d)
+    return SP.recall_heldout(R.retrieve_topk(uv, pv, k=10), SP.temporal_split(_iwn(spark, d)))
+
+
+@query("user_auc", with_ctes(
+    "SELECT user_id, CAST(sum(label) AS BIGINT) AS n_pos, CAST(sum(1 - label) AS BIGINT) AS n_neg, "
+    "round(sum(CASE WHEN label = 1 THEN neg_below + neg_here / 2.0 END) / "
+    "(sum(label)::DOUBLE * sum(1 - label)::DOUBLE), 6) AS auc FROM ("
+    "SELECT user_id, label, sum(1 - label) OVER (PARTITION BY user_id ORDER BY score RANGE BETWEEN UNBOUNDED PRECEDING "
+    "AND CURRENT ROW) - sum(1 - label) OVER (PARTITION BY user_id, score) AS neg_below, "
+    "sum(1 - label) OVER (PARTITION BY user_id, score) AS neg_here FROM scored) "
+    "GROUP BY user_id HAVING sum(label) > 0 AND sum(1 - label) > 0", "scored"))
+def user_auc(spark, d):
+    return SP.user_auc(_scored(spark, d)).withColumn("auc", r6(F.col("auc")))
 
 
 @query("retrieve_lsh")
@@ -552,15 +615,57 @@ def diversify_topk(spark, d):
     return R.retrieve_diverse(uv, pv, R.post_clusters(pv), k=10, per_cluster=2)
 
 
+@query("diversify_by_label", with_ctes(
+    "SELECT user_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY score DESC, post_id) AS INTEGER) AS rank, "
+    "post_id, round(score, 6) AS score, label AS cluster FROM ("
+    "SELECT *, row_number() OVER (PARTITION BY user_id, label ORDER BY score DESC, post_id) AS r FROM ("
+    f"SELECT u.id AS user_id, p.id AS post_id, p.label, {sql_dot('u.embedding', 'p.embedding')} AS score "
+    "FROM uvec u, pvec p)) WHERE r <= 2 QUALIFY rank <= 10", "uvec", "pvec"))
+def diversify_by_label(spark, d):
+    """The same over the posts' given labels."""
+    uv, pv = _vecs(spark, d)
+    clusters = pv.select(F.col("id").alias("post_id"), F.col("label").alias("cluster"))
+    return R.retrieve_diverse(uv, pv, clusters, k=10, per_cluster=2).withColumn("score", r6(F.col("score")))
+
+
+@query("retrieve_ivf")
+def retrieve_ivf(spark, d):
+    """Top ten by a persistent inverted-file index, probes chosen by recall."""
+    uv, pv = _vecs(spark, d)
+    return IVF.retrieve_ivf(uv, pv, scratch_path(spark, f"index-{_uuid.uuid4().hex}"), k=10)
+
+
+@query("retrieve_ivf_facts", with_ctes(
+    "SELECT (SELECT count(*) FROM uvec) AS n_users, (SELECT count(*) FROM pvec) AS n_indexed, true AS recall_reached, "
+    "least(10, (SELECT count(*) FROM pvec)) AS least_rows", "uvec", "pvec"))
+def retrieve_ivf_facts(spark, d):
+    """What holds of the index: every post is in it, every user gets its rows, and
+    the recall measured against brute force is at least 0.9."""
+    uv, pv = _vecs(spark, d)
+    index = IVF.build_index(pv, scratch_path(spark, f"index-{_uuid.uuid4().hex}"))
+    probes, recall = IVF.choose_probes(index, uv, k=10)
+    per = IVF.search(index, uv, 10, probes).groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    return per.agg(F.count(F.lit(1)).alias("n_users"), F.lit(index.posts.count()).cast("bigint").alias("n_indexed"),
+                   F.lit(recall >= 0.9).alias("recall_reached"), F.min("n").alias("least_rows"))
+
+
 @query("recommend")
 def recommend(spark, d):
     return RC.recommend(spark, d)
 
 
+@query("recommend_facts", with_ctes(
+    "SELECT uid AS user_id, least(10, (SELECT count(*) FROM documents)) AS n, least(10, (SELECT count(*) FROM documents)) "
+    "AS n_posts FROM user_keys", "user_keys"))
+def recommend_facts(spark, d):
+    """What holds of the recommendations: ten different posts for every user."""
+    return RC.recommend(spark, d).groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("post_id").alias("n_posts"))
+
+
 # ---- streaming -----------------------------------------------------------------
 from ..streaming import jobs as SJ  # noqa: E402
 from ..streaming.intake import to_messages  # noqa: E402
-from ..session import scratch_path  # noqa: E402
 from ..sources.tables import read_table  # noqa: E402
 
 
@@ -624,3 +729,47 @@ def read_post_features(spark, d):
     pt = FT.scaled_post_features(FT.post_numeric(_inputs(spark, d)))
     out = pt.select("po_id", *[r6(F.col(c)).alias(c) for c in POST_DENSE_COLS])
     return IO.read_post_features(spark, _feature_file(spark, d, "posts", out))
+
+
+# ---- the whole job ------------------------------------------------------------------
+from . import job as JB  # noqa: E402
+
+
+def _ids_sql(columns) -> str:
+    return "CAST(sum(" + " + ".join(f"list_sum({c})" for c in columns) + ") AS BIGINT)"
+
+
+@query("published_examples", with_ctes(
+    "SELECT 'users' AS name, count(*) AS n, CAST(sum(viewed_posts + upvoted_posts + commented_posts) AS BIGINT) AS counted, "
+    f"{_ids_sql(USER_TEXT)} AS ids FROM padded_users JOIN user_counts USING (uid) UNION ALL "
+    f"SELECT 'posts', count(*), CAST(count(ctr) AS BIGINT), {_ids_sql(f'e.{c}' for c in POST_TEXT)} "
+    "FROM padded_posts e JOIN post_table USING (po_id) "
+    "UNION ALL SELECT 'interactions', count(*), CAST(sum(coalesce(comment_length, 0)) AS BIGINT), "
+    "CAST(sum(coalesce(user_id, 0) + 7 * coalesce(post_id, 0)) AS BIGINT) FROM iwn",
+    "padded_users", "user_counts", "padded_posts", "post_table", "iwn"))
+def published_examples(spark, d):
+    """Rows, counts and id sums of the three example tables, as published by the
+    job and read back."""
+    t = JB.run(spark, d, scratch_path(spark, f"examples-{_uuid.uuid4().hex}"))
+
+    def ids(columns):
+        return F.sum(sum((F.aggregate(c, F.lit(0).cast("bigint"), lambda a, x: a + x) for c in columns), F.lit(0).cast("bigint")))
+
+    def facts(name, counted, id_sum):
+        return t[name].agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n"), counted.cast("bigint").alias("counted"),
+                           id_sum.cast("bigint").alias("ids"))
+
+    return (facts("users", F.sum(F.col("viewed_posts") + F.col("upvoted_posts") + F.col("commented_posts")), ids(USER_TEXT))
+            .unionByName(facts("posts", F.count("ctr"), ids(POST_TEXT)))
+            .unionByName(facts("interactions", F.sum("comment_length"),
+                               F.sum(F.coalesce("user_id", F.lit(0)) + 7 * F.coalesce("post_id", F.lit(0))))))
+
+
+@query("rejected_points", with_ctes(
+    "SELECT count(*) AS n, CAST(count(*) FILTER (WHERE uid % 9 = 4 AND lat IS NOT NULL) AS BIGINT) AS n_rejected FROM users",
+    "users"))
+def rejected_points(spark, d):
+    """Each ninth location is cut short on its way: counted, never raised."""
+    located = G.encode_points(D.user_profile(spark, d)).withColumn("lat_long", F.when(
+        F.col("uid") % 9 == 4, F.substring("lat_long", 1, 41)).otherwise(F.col("lat_long")))
+    return G.rejected_points(located)

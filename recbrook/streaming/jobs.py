@@ -1,17 +1,13 @@
 """Streaming jobs: running interaction counts and refresh-on-arrival.
 
-State is three tables under one folder, each with a part per micro-batch:
-
-- ``events``: the ids of the events first seen in the batch;
-- ``counts``: how much each (user, type) of those events grew;
-- ``users``: the refreshed counts of the users the batch touched.
-
-A batch reads only earlier parts and overwrites its own, so a replayed batch
-changes nothing; an event counts once however late it or its repeat comes (a
-watermark would drop late events).  History is not recounted: a batch
-compares its event ids with those seen, and totals are sums of ``counts``.
-The folder and the stream's checkpoint are kept, so a later call goes on where
-the last one ended.
+The state is keyed and kept by the stream itself in a RocksDB state store:
+the ids of the events seen (``dropDuplicates``) and the counts of each user (a
+grouped aggregation).  A micro-batch looks up and updates the keys of its own
+rows only; what came before is neither read again nor recounted, and an event
+counts once however late it or its repeat comes (a watermark would drop late
+events).  Each batch writes the new totals of the users it touched under its
+batch id, so a replayed batch overwrites itself.  The folder and the stream's
+checkpoint are kept, so a later call goes on where the last one ended.
 """
 
 from __future__ import annotations
@@ -25,91 +21,92 @@ from pyspark.sql import functions as F
 
 from ..schemas import BASE
 from ..session import scratch_path
-from ..sources.derived import interactions_from_events
+from ..sources.derived import INTERACTION_TYPE_OF_EVENT, interactions_from_events
 from ..operators.users import COUNTED_TYPES
 
 EVENT_COLS = ["event_id", "user_id", "post_id", "interaction_type"]
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Every value ``interaction_type`` takes, and the column of its count.
+TYPES = [*dict.fromkeys([*INTERACTION_TYPE_OF_EVENT.values(), "error"]), None]
+COUNT_OF = {t: f"n_{t or 'none'}" for t in TYPES}
 
 
-def event_stream(spark: SparkSession, source_dir: str, file_glob: str = "events*.parquet") -> DataFrame:
+def event_stream(spark: SparkSession, source_dir: str, file_glob: str = "events*.parquet",
+                 files_per_batch: int | None = None) -> DataFrame:
     """Event files arriving under ``source_dir`` as a stream."""
-    return (spark.readStream.schema(BASE["events"]).option("pathGlobFilter", file_glob)
-            .parquet(source_dir))
+    reader = spark.readStream.schema(BASE["events"]).option("pathGlobFilter", file_glob)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(source_dir)
 
 
-def run_per_batch(stream: DataFrame, per_batch: Callable[[DataFrame, int], None], checkpoint: str) -> None:
+def run_per_batch(stream: DataFrame, per_batch: Callable[[DataFrame, int], None], checkpoint: str,
+                  mode: str = "append") -> list[dict]:
     """Run ``per_batch`` on each micro-batch until the available input is
-    consumed."""
-    q = (stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+    consumed; returns the progress report of each batch."""
+    q = (stream.writeStream.outputMode(mode).foreachBatch(per_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
+    return [dict(p) for p in q.recentProgress]
 
 
 def _part(table: str, batch_id: int) -> str:
     return os.path.join(table, f"batch_id={batch_id}")
 
 
-def _earlier(spark: SparkSession, table: str, batch_id: int) -> DataFrame:
-    return spark.read.parquet(table).filter(F.col("batch_id") < batch_id)
-
-
-def _tables(spark: SparkSession, state_dir: str) -> dict[str, str]:
-    """Paths of the state tables, each begun with an empty part."""
-    types = {"events": "event_id bigint", "counts": "user_id bigint, interaction_type string, posts bigint, n bigint",
-             "users": "uid bigint, " + ", ".join(f"{c} bigint" for c in COUNTED_TYPES)}
-    paths = {name: os.path.join(state_dir, name) for name in types}
-    for name, schema in types.items():
-        spark.createDataFrame([], schema).write.mode("ignore").parquet(_part(paths[name], -1))
-    return paths
-
-
-def carry_forward(events: DataFrame, batch_id: int, paths: dict[str, str]) -> None:
-    """One micro-batch: keep the events not seen before, add up their counts
-    and refresh the users they touch."""
-    spark = events.sparkSession
-    new_events = events.select(*EVENT_COLS).dropDuplicates(["event_id"]).join(
-        _earlier(spark, paths["events"], batch_id), "event_id", "left_anti").persist()
-    grown = new_events.groupBy("user_id", "interaction_type").agg(
-        F.count("post_id").alias("posts"), F.count(F.lit(1)).alias("n"))
-    grown.write.mode("overwrite").parquet(_part(paths["counts"], batch_id))
-    new_events.select("event_id").write.mode("overwrite").parquet(_part(paths["events"], batch_id))
-    new_events.unpersist()
-    totals = spark.read.parquet(paths["counts"]).filter(F.col("batch_id") <= batch_id)
-    touched = totals.filter(F.col("batch_id") == batch_id).select("user_id").distinct()
+def running_totals(events: DataFrame) -> DataFrame:
+    """(uid, the counted columns, one count per interaction type) over the
+    distinct events of a stream."""
     t = F.col("interaction_type")
-    refreshed = (totals.join(touched, "user_id", "left_semi").filter(t.isin(*COUNTED_TYPES.values()))
-                 .groupBy(F.col("user_id").alias("uid"))
-                 .agg(*[F.coalesce(F.sum(F.when(t == v, F.col("posts"))), F.lit(0)).alias(c)
-                        for c, v in COUNTED_TYPES.items()]))
-    refreshed.write.mode("overwrite").parquet(_part(paths["users"], batch_id))
-
-
-def _consume(spark: SparkSession, source_dir: str, file_glob: str, state_dir: str | None, name: str) -> dict[str, str]:
-    state_dir = state_dir or scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
-    paths = _tables(spark, state_dir)
-    run_per_batch(interactions_from_events(event_stream(spark, source_dir, file_glob)),
-                  lambda batch, batch_id: carry_forward(batch, batch_id, paths),
-                  os.path.join(state_dir, "checkpoint"))
-    return paths
+    counted = [F.count(F.when(t == v, F.col("post_id"))).alias(c) for c, v in COUNTED_TYPES.items()]
+    each = [F.count(F.when(t.eqNullSafe(F.lit(v)), 1)).alias(c) for v, c in COUNT_OF.items()]
+    return events.select(*EVENT_COLS).dropDuplicates(["event_id"]).groupBy(F.col("user_id").alias("uid")).agg(*counted, *each)
+
+
+def consume(spark: SparkSession, source_dir: str, file_glob: str = "events*.parquet", state_dir: str | None = None,
+            files_per_batch: int | None = None) -> tuple[str, list[dict]]:
+    """Take in the events that have arrived; returns the folder of the users'
+    totals, a part per batch, and the batches' progress."""
+    state_dir = state_dir or scratch_path(spark, f"stream-{uuid.uuid4().hex}")
+    users = os.path.join(state_dir, "users")
+    columns = ", ".join(f"{c} bigint" for c in ("uid", *COUNTED_TYPES, *COUNT_OF.values()))
+    spark.createDataFrame([], columns).write.mode("ignore").parquet(_part(users, -1))
+    before = spark.conf.get(PROVIDER, None)
+    spark.conf.set(PROVIDER, ROCKSDB)
+    try:
+        totals = running_totals(interactions_from_events(event_stream(spark, source_dir, file_glob, files_per_batch)))
+        progress = run_per_batch(
+            totals, lambda batch, batch_id: batch.write.mode("overwrite").parquet(_part(users, batch_id)),
+            os.path.join(state_dir, "checkpoint"), "update")
+    finally:
+        spark.conf.unset(PROVIDER) if before is None else spark.conf.set(PROVIDER, before)
+    return users, progress
+
+
+def last_totals(spark: SparkSession, users: str) -> DataFrame:
+    """Each user's newest row of the totals."""
+    table = spark.read.parquet(users)
+    rest = [c for c in table.columns if c not in ("uid", "batch_id")]
+    return table.groupBy("uid").agg(F.max(F.struct("batch_id", *rest)).alias("last")).select("uid", "last.*")
 
 
 def stream_counts(spark: SparkSession, source_dir: str, file_glob: str = "events*.parquet",
                   state_dir: str | None = None) -> DataFrame:
     """Running (user_id, interaction_type) counts over the event stream.
     ``state_dir`` holds the state between calls; None starts anew."""
-    paths = _consume(spark, source_dir, file_glob, state_dir, "stream-counts")
-    return (spark.read.parquet(paths["counts"]).groupBy("user_id", "interaction_type")
-            .agg(F.sum("n").alias("n")))
+    users, _ = consume(spark, source_dir, file_glob, state_dir)
+    per_type = F.array(*[F.struct(F.lit(t).cast("string").alias("interaction_type"), F.col(c).alias("n"))
+                         for t, c in COUNT_OF.items()])
+    return (last_totals(spark, users).select(F.col("uid").alias("user_id"), F.inline(per_type)).filter(F.col("n") > 0))
 
 
 def stream_refresh(spark: SparkSession, source_dir: str, file_glob: str = "events*.parquet",
                    state_dir: str | None = None) -> DataFrame:
     """Refresh on arrival: each micro-batch refreshes the counts of the users
     it touches; returns every such user's last counts."""
-    paths = _consume(spark, source_dir, file_glob, state_dir, "stream-refresh")
-    last = F.max(F.struct("batch_id", *COUNTED_TYPES)).alias("last")
-    return spark.read.parquet(paths["users"]).groupBy("uid").agg(last).select(
-        "uid", *[F.col(f"last.{c}").alias(c) for c in COUNTED_TYPES])
+    users, _ = consume(spark, source_dir, file_glob, state_dir)
+    return last_totals(spark, users).select("uid", *COUNTED_TYPES)
 
 
 def stream_messages(spark: SparkSession, message_dir: str, state_dir: str | None = None

@@ -71,3 +71,20 @@ def test_second_call_goes_on_from_the_first(spark):
     assert sorted(map(tuple, again)) == [(7, "view", 2), (8, "comment", 1)]
     users = spark.read.parquet(os.path.join(state, "users"))
     assert [r.uid for r in users.filter("batch_id = 1").collect()] == [7]
+
+
+def test_work_of_a_batch_does_not_grow(spark, tmp_path):
+    """Equal batches update equally many keys, however much came before; the
+    state grows with the distinct events and users only."""
+    for f in range(6):
+        rows = [(f * 40 + i, T(2024, 1, 1), i % 10, "view", 1.0, '{"k": 3}') for i in range(40)]
+        rows += [(0, T(2024, 1, 1), 0, "view", 1.0, '{"k": 3}')] * 5  # repeats of the first event
+        _events(spark, rows).coalesce(1).write.parquet(str(tmp_path / "in" / f"{f}.parquet"))
+    users, progress = jobs.consume(spark, str(tmp_path / "in") + "/*", "*.parquet", str(tmp_path / "state"), files_per_batch=1)
+    work = [(p["numInputRows"], sum(o["numRowsUpdated"] for o in p["stateOperators"])) for p in progress if p["numInputRows"]]
+    assert len(work) == 6 and {n for n, _ in work} == {45} and max(u for _, u in work) <= 50
+    assert [p["stateOperators"][0]["customMetrics"].get("rocksdbGetCount") for p in progress][0] is not None  # the keyed store
+    per_batch = spark.read.parquet(users).filter("batch_id >= 0").groupBy("batch_id").count().collect()
+    assert {r["count"] for r in per_batch} == {10}
+    got = jobs.last_totals(spark, users).agg(F.sum("viewed_posts"), F.sum("n_view")).first()
+    assert tuple(got) == (240, 240)
