@@ -6,15 +6,18 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor sees: ``spark.checkpoint.dir`` of the session.
-    Where it is unset (a local session) one is made and set."""
+    Where it is unset, a local session gets one of its own; on a cluster that
+    would be one machine's disk, so it is an error."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is unset; point it at storage all executors share")
         spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="llm-shared-"))
         root = spark.sparkContext.getCheckpointDir()
     return root
@@ -84,7 +87,3 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     # Now every vertex but the roots has one edge, to its root.
     return e.select(F.col("u").alias("id"), F.col("v").alias("component")) \
         .union(e.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
-
-
-def no_null_text(c: Column | str) -> Column:
-    return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
