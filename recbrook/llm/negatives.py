@@ -251,10 +251,10 @@ def negatives_sql() -> str:
     return """
 WITH e AS (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-         list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS q
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
   FROM embeddings
   WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0),
 s AS (
   SELECT a.vec_id AS anchor_id, e.vec_id, a.label = e.label AS same,
          CAST(list_inner_product(a.q, e.q) AS BIGINT) AS score
