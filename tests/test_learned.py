@@ -165,7 +165,7 @@ def test_recommend_reaches_cold_users_and_posts(spark):
     any interaction are found by their content."""
     from recbrook.plans import recommend as RC
     from conftest import SF_SMALL
-    got = RC.recommend(spark, SF_SMALL, k=5, pool=10).cache()
+    got = RC.recommend_with_spaces(spark, SF_SMALL, k=5, n_candidates=10).cache()
     r = RC.Ranking.load(spark, SF_SMALL)
     users = r.x.profile.select("uid")
     assert {x["count"] for x in got.groupBy("user_id").count().collect()} == {5}
