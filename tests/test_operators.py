@@ -336,3 +336,49 @@ def test_leading_texts_hold_the_first_tokens(spark):
     col = spark.createDataFrame([(i, 7, f"t{i}", [8]) for i in range(9)],
                                 "collab_id long, owner_uid long, title string, team_uids array<long>")
     assert rows(leading_titles(col, 2), "uid", "project_titles") == [(7, ["t0", "t1"]), (8, ["t0", "t1"])]
+
+
+# ---- what moves ---------------------------------------------------------------------------------
+def _explained(df, capsys):
+    capsys.readouterr()
+    df.explain("formatted")
+    return capsys.readouterr().out
+
+
+def test_post_features_shuffle_no_description(spark, capsys):
+    text = spark.createDataFrame([(1, "abc"), (2, None), (None, "x")], "po_id long, description string")
+    its = spark.createDataFrame([(1, 5, "view", 2.0)], "post_id long, user_id long, interaction_type string, view_duration_secs double")
+    com = spark.createDataFrame([(1, 0, "hi")], "po_id long, turn int, content string")
+    got = posts.post_features(text.hint("merge"), its, com)
+    plan = _explained(got, capsys)
+    exchanges = [x.split("\n\n")[0] for x in plan.split("Exchange\n")[1:]]
+    assert exchanges and not any("description" in x for x in exchanges)
+    assert sorted((r.post_length for r in got.collect()), key=str) == [1, 3, None]
+
+
+def test_examples_join_each_side_once_posts_first(spark):
+    from recbrook.operators import examples
+    iwn = spark.createDataFrame([(1, 7, "view", 1.0), (None, 7, None, 0.0), (2, None, "view", 1.0), (3, 8, "view", 0.0)],
+                                "user_id long, post_id long, interaction_type string, weight double")
+    ud = spark.createDataFrame([(1, [1.0] * 4), (2, [2.0] * 4)], "uid long, user_dense array<float>")
+    pd_ = spark.createDataFrame([(7, [3.0] * 7)], "po_id long, post_dense array<float>")
+    uv = spark.createDataFrame([(1, [0.5]), (3, [0.25]), (3, [0.75])], "id long, embedding array<float>")
+    pv = spark.createDataFrame([(8, [0.125]), (None, [9.0])], "id long, embedding array<float>")
+    got = examples.training_examples(iwn, ud, pd_, uv, pv)
+    have = sorted(((r.user_id, r.post_id, r.user_embedding, r.user_dense[0], r.post_embedding, r.post_dense[0], r.has_user_vector,
+                    r.has_post_vector) for r in got.collect()), key=str)
+    assert have == sorted([(1, 7, [0.5], 1.0, [0.0], 3.0, 1, 0), (None, 7, [0.0], 0.0, [0.0], 3.0, 0, 0),
+                           (2, None, [0.0], 2.0, [0.0], 0.0, 0, 0), (3, 8, [0.25], 0.0, [0.125], 0.0, 1, 1),
+                           (3, 8, [0.75], 0.0, [0.125], 0.0, 1, 1)], key=str)
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Join LeftOuter") == 2
+
+
+def test_text_widths_without_a_vocabulary(spark):
+    from recbrook.operators import encode
+    lengths = {"a": 10, "b": 5}
+    rows_ = [(1, "a", "one two three"), (1, "a", "four"), (2, "a", None), (2, "b", "x " * 50), (3, "b", "")]
+    texts = spark.createDataFrame(rows_, "k long, _col string, text string")
+    vocab = encode.build_vocabulary(texts.select("text"))
+    for some in (texts, texts.filter("k = 1"), texts.filter("k = 3"), texts.limit(0)):
+        want = encode.token_widths(encode.encode_long(some, "k", lengths, vocab), lengths).first()
+        assert tuple(encode.text_widths(some, "k", lengths).first()) == tuple(want)
