@@ -382,3 +382,36 @@ def test_text_widths_without_a_vocabulary(spark):
     for some in (texts, texts.filter("k = 1"), texts.filter("k = 3"), texts.limit(0)):
         want = encode.token_widths(encode.encode_long(some, "k", lengths, vocab), lengths).first()
         assert tuple(encode.text_widths(some, "k", lengths).first()) == tuple(want)
+
+
+def test_topk_in_blocks_ties_groups_and_no_row_per_user_and_cell(spark, monkeypatch):
+    from recbrook.operators import retrieval as R
+    monkeypatch.setattr(R, "candidate_clusters", None)  # a row per user and cell outgrew the shuffle
+    monkeypatch.setattr(R, "PART", 64)
+    rnd = random.Random(6)
+    us = [(i % 17, [rnd.gauss(0, 1) for _ in range(3)]) for i in range(18)] + [(90, None), (None, [1.0] * 3)]
+    ps = [(i, [1.0, 2.0, -1.0] if i % 3 else [rnd.gauss(0, 1) for _ in range(3)]) for i in range(60)] + [(99, None)]
+    uv = spark.createDataFrame(us, "id long, embedding array<double>")
+    pv = spark.createDataFrame(ps, "id long, embedding array<double>")
+    grp = spark.createDataFrame([(i, i % 4 if i % 8 else None) for i in range(60)], "post_id long, grp int")
+    dot = lambda u, p: sum(a * b for a, b in zip(u, p))
+    for groups, of in ((None, lambda i: 0), (grp, lambda i: i % 4 if i % 8 else None)):
+        found = R.retrieve_topk_by_group(uv, pv, groups, 3, block_size=7, user_cap=5).collect()
+        got = [(r.user_id, r.grp, r["rank"], r.post_id) for r in found]
+        want = []
+        for uid in range(17):
+            for g in {of(i) for i in range(60)}:
+                sc = sorted((-dot(u, p), pid) for w, u in us if w == uid for pid, p in ps if p and of(pid) == g)[:3]
+                want += [(uid, g, r, pid) for r, (_, pid) in enumerate(sc, 1)]
+        assert sorted(map(str, got)) == sorted(map(str, want))
+    assert R.retrieve_topk(uv, pv.limit(0)).collect() == [] == R.retrieve_topk(uv.limit(0), pv).collect()
+
+
+def test_lsh_scores_a_bucket_at_once(spark):
+    """Of a bucket that all users and posts share only the best of each user leave it."""
+    from recbrook.operators import retrieval as R
+    uv = spark.createDataFrame([(i, [1.0, 1.0 + i / 100]) for i in range(30)], "id long, embedding array<double>")
+    pv = spark.createDataFrame([(i, [1.0, 1.0 + i % 7]) for i in range(90)], "id long, embedding array<double>")
+    got = R.retrieve_lsh(uv, pv, k=4, bucket_cap=8)
+    assert {(r["rank"], r.post_id) for r in got.collect()} == {(1, 6), (2, 13), (3, 20), (4, 27)}
+    assert "FlatMapGroupsInPandas" in got._jdf.queryExecution().optimizedPlan().toString()
