@@ -64,6 +64,26 @@ def test_content_of_nothing(spark):
         ("post", 1, {0.0}), ("post", 2, {0.0})]
 
 
+def test_content_blocks_cut_repeated_ids_and_no_row_per_text_and_term(spark, monkeypatch):
+    rng = random.Random(7)
+    rows = [("post" if i % 2 else "user", i, text(rng, i % 3)) for i in range(60)]
+    rows += [("post", 1, "piano piano"), ("user", None, "salt oven"), ("user", None, "fish"), ("post", 500, "late " * 40), ("post", 501, None),
+             ("post", 2 ** 60 + 1, "boat")]
+    df = spark.createDataFrame(rows, "side string, id long, text string").repartition(3)
+    merged = {}
+    for s, i, t in rows:
+        merged[s, i] = f"{merged.get((s, i), '')} {t or ''}"
+    whole = spark.createDataFrame([(*k, t) for k, t in merged.items()], "side string, id long, text string").coalesce(1)
+    want = {(r.side, r.id): np.array(r.embedding) for r in CT.project(whole, CT.fit_terms(whole)).collect()}
+    monkeypatch.setattr(CT, "BLOCK", 50)
+    monkeypatch.setattr(CT, "ENTRIES", 11)
+    blocks = CT.text_blocks(df).collect()
+    assert len(blocks) > 10 and len({b.block for b in blocks}) == len(blocks) and sum(len(b.id) for b in blocks) == len(merged)
+    got = {(r.side, r.id): np.array(r.embedding) for r in CT.project(df, CT.fit_terms(df)).collect()}
+    assert set(got) == set(want) and not got["user", None].any() and not got["post", 501].any()
+    assert all(np.allclose(got[k], want[k], atol=1e-6) for k in want)
+
+
 # ---- index ---------------------------------------------------------------------------
 def vectors(spark, n, seed, dim=32, latent=6):
     """Vectors of unequal length on a few latent directions, as learned ones are."""
