@@ -119,6 +119,20 @@ def test_index_odd_vectors(spark, tmp_path):
     assert ivf.search(none, users, 2, 4).collect() == [] and ivf.choose_probes(none, users)[1] == 1.0
 
 
+def test_cells_of_users_are_ranked_in_bounded_slices(spark, tmp_path, monkeypatch):
+    """No task makes more than ``ROWS`` rows at once, and the cells are the same."""
+    index, users = ivf.build_index(vectors(spark, 3_000, 8), str(tmp_path / "i"), cell=16), vectors(spark, 200, 7)
+    cells = lambda: {tuple(r) for r in ivf.ranked_cells(index, users, 6).select("user_id", "coarse", "fine", "rank").collect()}
+    want = cells()
+    monkeypatch.setattr(ivf, "ROWS", 64)
+    ranked = ivf.ranked_cells(index, users, 6)
+    assert {tuple(r) for r in ranked.select("user_id", "coarse", "fine", "rank").collect()} == want
+    sliced = []
+    monkeypatch.setattr(ivf, "_per_slice", lambda c, s, of=ivf._per_slice: sliced.append(s) or of(c, s))
+    ivf.ranked_cells(index, users, 6)
+    assert sliced[0].agg(F.sum("slices")).first()[0] >= 200 * 6 * 6 / 64 / 2
+
+
 # ---- ranker --------------------------------------------------------------------------
 def planted(spark, n, seed):
     """Whether the vectors agree in sign of two products: no linear signal."""
@@ -163,6 +177,15 @@ def test_ranker_gradient_is_the_derivative():
         assert abs(num - g[i]) < 1e-4 * max(1, abs(num))
 
 
+def test_ranker_keeps_the_rows_as_floats(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(RK, "scratch_path", lambda _, name: str(tmp_path / "work"))
+    shape = RK.Shape(4, 4, 4, 7)
+    rows = planted(spark, 300, 1).withColumn("features", F.col("features").cast("array<float>"))
+    narrow = RK.fit(rows, shape, epochs=1)
+    assert spark.read.parquet(str(tmp_path / "work" / "rows")).schema["x"].dataType.simpleString() == "array<float>"
+    assert np.isfinite(narrow.flat).all() and (narrow.flat != RK.start(shape, 9)).any()
+
+
 # ---- merging and cold start ------------------------------------------------------------
 def test_merge_by_quantiles_and_fill_up(spark):
     a = spark.createDataFrame([(1, p, float(p)) for p in range(100)], "user_id long, post_id long, score double")
