@@ -415,3 +415,16 @@ def test_lsh_scores_a_bucket_at_once(spark):
     got = R.retrieve_lsh(uv, pv, k=4, bucket_cap=8)
     assert {(r["rank"], r.post_id) for r in got.collect()} == {(1, 6), (2, 13), (3, 20), (4, 27)}
     assert "FlatMapGroupsInPandas" in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_whole_examples_join_posts_first(spark):
+    from recbrook.operators import examples
+    ex = spark.createDataFrame([(7, 1, 0.5), (7, None, 0.25), (None, 2, 0.125)], "post_id long, user_id long, x double")
+    users = spark.createDataFrame([(1, [1]), (3, [3])], "uid long, bio array<int>")
+    where = spark.createDataFrame([(1, [0.1]), (2, [0.2])], "uid long, geo_rbf array<double>")
+    texts = spark.createDataFrame([(7, [7])], "po_id long, title array<int>")
+    got = examples.with_texts_and_location(ex, users, texts, where)
+    assert got.columns == ["post_id", "user_id", "x", "bio", "geo_rbf", "title"]
+    assert sorted(map(tuple, got.collect()), key=str) == [(7, 1, 0.5, [1], [0.1], [7]), (7, None, 0.25, None, None, [7]),
+                                                          (None, 2, 0.125, None, [0.2], None)]
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Join LeftOuter") == 2
