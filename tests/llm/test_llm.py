@@ -175,6 +175,48 @@ def test_lines_match_brute_force(spark):
         assert [k for k in of if next(r["kept"] for r in got if (r["doc_id"], r["line"]) == k)] == of[:1]
 
 
+def word_edits(x, y):
+    last = list(range(len(y) + 1))
+    for i, a in enumerate(x, 1):
+        here = [i]
+        for j, b in enumerate(y, 1):
+            here.append(min(last[j] + 1, here[-1] + 1, last[j - 1] + (a != b)))
+        last = here
+    return last[-1]
+
+
+@pytest.mark.parametrize("similarity", [0.8, 0.6])
+def test_no_similar_lines_are_left_out(spark, similarity):
+    """Groups are the components of all pairs, at every length and just at the threshold."""
+    rng = random.Random(21)
+    vocabulary = [f"w{int(rng.paretovariate(0.6)) % 400}" for _ in range(2000)]
+    texts = ["a a a a", "a a a a b", "a a a a c", "x y", "x z", "one", "p q r s", "p q r s t", "q p s r"]
+    for n in [3, 4, 5, 6, 9, 10, 11, 14, 20, 33, 60]:
+        base = [rng.choice(vocabulary) for _ in range(n)]
+        texts.append(" ".join(base))
+        for _ in range(8):
+            w = list(base)
+            for _ in range(rng.randrange(1, 2 + int((1.05 - similarity) * n))):
+                at = rng.randrange(len(w))
+                if (kind := rng.randrange(3)) == 0 and len(w) > 1:
+                    del w[at]
+                elif kind == 1:
+                    w.insert(at, rng.choice(vocabulary))
+                else:
+                    w[at] = rng.choice(vocabulary)
+            texts.append(" ".join(w))
+    got = {r["doc_id"]: r["group"] for r in rows(lines.fuzzy_lines(
+        spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), similarity=similarity))}
+    part = list(range(len(texts)))
+    split = [t.split() for t in texts]
+    for x, y in itertools.combinations(range(len(texts)), 2):
+        n = max(len(split[x]), len(split[y]))
+        if word_edits(split[x], split[y]) <= int((1 - similarity) * n + 1e-9):
+            part = [part[x] if p == part[y] else p for p in part]
+    same = lambda of: {frozenset(i for i in range(len(texts)) if of[i] == g) for g in set(of[i] for i in range(len(texts)))}
+    assert same(got) == same(part)
+
+
 def test_close_simhashes_are_complete(spark):
     rng = random.Random(6)
     sims = [rng.getrandbits(64) - (1 << 63) for _ in range(40)]
