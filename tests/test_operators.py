@@ -419,6 +419,21 @@ def test_lsh_scores_a_bucket_at_once(spark):
     assert "FlatMapGroupsInPandas" in got._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_lsh_groups_give_what_single_buckets_give(spark, monkeypatch):
+    """However many buckets move together, a user meets the same posts, and a post moves once
+    per table and first bit, not once per bit."""
+    import random
+    from recbrook.operators import retrieval as R
+    rng = random.Random(3)
+    vecs = [spark.createDataFrame([(i, [rng.gauss(0, 1) for _ in range(8)]) for i in range(n)], "id long, embedding array<double>")
+            for n in (30, 200)]
+    moved = []
+    score = R._score_blocks
+    monkeypatch.setattr(R, "_score_blocks", lambda c, b, *a: moved.append(b.count()) or score(c, b, *a))
+    a, b = (sorted(map(tuple, R.retrieve_lsh(*vecs, k=5, bucket_posts=4, bucket_cap=cap).collect())) for cap in (4, 64))
+    assert a == b and moved[1] == 8 * 200 < moved[0]
+
+
 def test_whole_examples_join_posts_first(spark):
     from recbrook.operators import examples
     ex = spark.createDataFrame([(7, 1, 0.5), (7, None, 0.25), (None, 2, 0.125)], "post_id long, user_id long, x double")
