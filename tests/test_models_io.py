@@ -45,3 +45,19 @@ def test_write_examples_and_read_features(spark):
     paths = io.write_examples({"users": df}, out)
     back = io.read_user_features(spark, paths["users"] + "/*.parquet").first()
     assert back.viewed_posts == 2.0 and back.login_frequency == 0.5
+
+
+def test_fit_input_is_dealt_evenly(spark, monkeypatch):
+    """Every pass over the fit input waits for its longest partition."""
+    monkeypatch.setattr(models, "FIT_ROWS", 100)
+    ex = spark.createDataFrame([([float(i % 3), 1.0], i % 2) for i in range(1000)], "features array<float>, label int")
+    lengths = lambda df: df.rdd.glom().map(len).collect()
+    uneven = ex.repartition(1).unionByName(ex.limit(5).repartition(1))
+    train = models._training_set(uneven, ["fv", "y"])
+    got = lengths(train)
+    assert len(got) == 11 and sum(got) == 1005 and max(got) <= 100
+    rows = lambda df: sorted((tuple(r.fv.toArray()), r.y) for r in df.collect())
+    assert rows(train) == rows(models._vectorised(uneven).select("fv", "y"))
+    assert lengths(models._training_set(ex.limit(60).repartition(1), ["fv", "y"])) == [60]  # few rows stay as they come
+    model = models.rank_mlp(uneven, max_iter=3)
+    assert model.numFeatures == 2 and models.predict(model, uneven, ["label"]).count() == 1005
