@@ -217,6 +217,15 @@ def test_no_similar_lines_are_left_out(spark, similarity):
     assert same(got) == same(part)
 
 
+def test_lines_leave_only_what_the_result_reads(spark, monkeypatch, tmp_path):
+    """The words, buckets, pairs and spellings go from the shared folder when nothing reads them again."""
+    monkeypatch.setattr("recbrook.llm.common.shared_dir", lambda spark: f"file://{tmp_path}")
+    texts = [(i, "\n".join(f"w{j} a b c d e f g h w{j + i % 2}" for j in range(i, i + 9))) for i in range(12)]
+    got = lines.fuzzy_lines(spark.createDataFrame(texts, "doc_id long, text string"))
+    assert {p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir()} == {"line-nodes", "line-parts"}
+    assert got.count() == 108
+
+
 def test_close_simhashes_are_complete(spark):
     rng = random.Random(6)
     sims = [rng.getrandbits(64) - (1 << 63) for _ in range(40)]
