@@ -226,6 +226,31 @@ def test_lines_leave_only_what_the_result_reads(spark, monkeypatch, tmp_path):
     assert got.count() == 108
 
 
+def test_long_strangers_are_no_candidates(spark, monkeypatch):
+    """Lines of 200 words that share a pair of words do not go on to have their words compared."""
+    rng = random.Random(9)
+    texts = [(i, " ".join([f"v{rng.randrange(5000)}" for _ in range(198)] + ["shared", "pair"])) for i in range(60)]
+    texts.append((60, " ".join(texts[7][1].split()[:170])))
+    pairs, written = [], lines.written
+
+    def counted(df, name):
+        out = written(df, name)
+        if name == "line-pairs":
+            pairs.append(out.count())
+        return out
+
+    monkeypatch.setattr(lines, "written", counted)
+    got = rows(lines.fuzzy_lines(spark.createDataFrame(texts, "doc_id long, text string")))
+    assert [r["doc_id"] for r in got if not r["kept"]] == [60]
+    assert sum(pairs) <= 10  # of 1830
+
+
+def test_bucket_plans_stay_short(spark):
+    """The words' ranks are repeated in every plan the driver keeps."""
+    texts = spark.createDataFrame([(1, 6, [5, 6, 7, 8, 9, 10])], "node long, n int, words array<int>")
+    assert len(lines.keyed(texts, lines.SIMILARITY)._jdf.queryExecution().toString()) < 500_000
+
+
 def test_close_simhashes_are_complete(spark):
     rng = random.Random(6)
     sims = [rng.getrandbits(64) - (1 << 63) for _ in range(40)]
