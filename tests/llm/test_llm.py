@@ -229,8 +229,9 @@ def test_lines_leave_only_what_the_result_reads(spark, monkeypatch, tmp_path):
 def test_long_strangers_are_no_candidates(spark, monkeypatch):
     """Lines of 200 words that share a pair of words do not go on to have their words compared."""
     rng = random.Random(9)
-    texts = [(i, " ".join([f"v{rng.randrange(5000)}" for _ in range(198)] + ["shared", "pair"])) for i in range(60)]
+    texts = [(i, " ".join([f"v{rng.randrange(2000)}" for _ in range(198)] + ["shared", "pair"])) for i in range(60)]
     texts.append((60, " ".join(texts[7][1].split()[:170])))
+    texts.append((61, " ".join(f"v{i}" for i in range(2000)) * 80))  # makes the shared pair the rarest
     pairs, written = [], lines.written
 
     def counted(df, name):
