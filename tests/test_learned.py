@@ -84,6 +84,26 @@ def test_content_blocks_cut_repeated_ids_and_no_row_per_text_and_term(spark, mon
     assert all(np.allclose(got[k], want[k], atol=1e-6) for k in want)
 
 
+def test_content_ranges_of_terms_give_what_one_gives_and_blocks_bound_their_texts(spark, monkeypatch):
+    """Terms mostly met in one text, as order numbers are, summed in many ranges; very many texts
+    of a word are several blocks."""
+    rng = random.Random(11)
+    posts = [(i, f"{text(rng, i % 3)} {100_000 + i} {200_000 + i // 2}") for i in range(90)] + [(None, "salt oven")]
+    users = [(i, "boat" if i % 2 else "drum") for i in range(300)]
+    u, p = spark.createDataFrame(users, "uid long, text string"), spark.createDataFrame(posts, "po_id long, text string")
+    of = lambda: {(r.side, r.id): np.array(r.embedding) for r in CT.content_embeddings(u, p).collect()}
+    want = of()
+    assert len(want) == 391 and not want["post", None].any()
+    texts = u.select(F.lit("user").alias("side"), F.col("uid").alias("id"), "text").coalesce(1)
+    monkeypatch.setattr(CT, "BLOCK", 1_000)
+    assert max(len(b.id) for b in CT.text_blocks(texts).collect()) <= 1_000 // CT.PER_TEXT + 1
+    monkeypatch.setattr(CT, "RANGE", 20)
+    parts, rank = CT._ranges(CT.text_blocks(texts.unionByName(p.select(F.lit("post").alias("side"), F.col("po_id").alias("id"), "text"))), names=False)
+    assert parts.filter("block < 0").count() > 5 and rank <= CT.SKETCH  # a Gram matrix a range
+    got = of()
+    assert set(got) == set(want) and all(np.allclose(got[k], want[k], atol=2e-6) for k in want)
+
+
 # ---- index ---------------------------------------------------------------------------
 def vectors(spark, n, seed, dim=32, latent=6):
     """Vectors of unequal length on a few latent directions, as learned ones are."""
