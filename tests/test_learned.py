@@ -206,6 +206,15 @@ def test_ranker_keeps_the_rows_as_floats(spark, tmp_path, monkeypatch):
     assert np.isfinite(narrow.flat).all() and (narrow.flat != RK.start(shape, 9)).any()
 
 
+def test_ranker_plans_a_batch_once_for_all_epochs(spark, monkeypatch):
+    rows, planned = planted(spark, 6000, 1), []
+    frame = type(rows)
+    monkeypatch.setattr(frame, "mapInArrow", lambda self, *a, f=frame.mapInArrow, **k: planned.append(1) or f(self, *a, **k))
+    RK.fit(rows, RK.Shape(4, 4, 4, 7), epochs=3, batch_rows=1500)
+    assert len(planned) <= 5  # four batches and the means; a plan a step were 13
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
+
+
 # ---- merging and cold start ------------------------------------------------------------
 def test_merge_by_quantiles_and_fill_up(spark):
     a = spark.createDataFrame([(1, p, float(p)) for p in range(100)], "user_id long, post_id long, score double")
