@@ -153,6 +153,19 @@ def test_cells_of_users_are_ranked_in_bounded_slices(spark, tmp_path, monkeypatc
     assert sliced[0].agg(F.sum("slices")).first()[0] >= 200 * 6 * 6 / 64 / 2
 
 
+def test_index_moves_vectors_as_given(spark, tmp_path):
+    """Floats stay floats on disk and in the rows of (user, cell), and find what doubles of them find."""
+    posts, users = (vectors(spark, n, seed).withColumn("embedding", F.col("embedding").cast("array<float>")) for n, seed in ((3_000, 8), (100, 7)))
+    wide = lambda df: df.withColumn("embedding", F.col("embedding").cast("array<double>"))
+    index = ivf.build_index(posts, str(tmp_path / "f"), cell=64)
+    assert index.posts.schema["p"].dataType.simpleString() == "array<float>"
+    assert [t for _, t in spark.read.parquet(str(tmp_path / "f" / "staged")).dtypes if t.startswith("array")] == ["array<float>"]
+    assert ivf.ranked_cells(index, users, 4).schema["u"].dataType.simpleString() == "array<float>"
+    again = ivf.build_index(wide(posts), str(tmp_path / "d"), cell=64)
+    rows = lambda i, u: sorted(map(tuple, ivf.search(i, u, 10, 4).collect()))
+    assert rows(index, users) == rows(again, wide(users))
+
+
 # ---- ranker --------------------------------------------------------------------------
 def planted(spark, n, seed):
     """Whether the vectors agree in sign of two products: no linear signal."""
